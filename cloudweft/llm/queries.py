@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudweft.llm import bpe, language, quality, token_count
+from cloudweft.llm import bpe, exact, language, quality, sharding, token_count
 from cloudweft.llm.common import documents, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,9 +33,31 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(documents(spark, sf_dir).select("doc_id", "text"), 40)
+    return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_language_id, op4_byte_bpe, op7_token_counts)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_language_id, op4_byte_bpe, op7_token_counts, op8_exact_dedup, op9_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_exact_dedup": EXACT_SQL}
+
+
+EXACT_SQL = """
+WITH t AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS normal FROM documents
+)
+SELECT doc_id,
+       first_value(doc_id) OVER w AS keep_id,
+       count(*) OVER (PARTITION BY normal) AS group_size,
+       row_number() OVER w = 1 AS kept,
+       sha256(normal) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY normal ORDER BY n DESC, doc_id)
+"""
