@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudweft.llm import bpe, exact, language, quality, sharding, token_count
+from cloudweft.llm import bpe, exact, language, pii, quality, sharding, token_count
 from cloudweft.llm.common import documents, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("quality", 6).alias("quality"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.extract(documents(spark, sf_dir).select("doc_id", "text")))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang", (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).alias("held_out"))
     model = language.fit(docs.where(~F.col("held_out")))
@@ -43,7 +47,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op3_language_id, op4_byte_bpe, op7_token_counts, op8_exact_dedup, op9_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op7_token_counts, op8_exact_dedup, op9_sharding)}
 
 
 def oracle_sql() -> dict[str, str]:
