@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudweft.llm import bpe, exact, language, pii, quality, sharding, token_count
-from cloudweft.llm.common import documents, written
+from cloudweft.llm import bpe, exact, language, mixing, pii, quality, sharding, token_count
+from cloudweft.llm.common import documents, labels, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,8 +46,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixed(documents(spark, sf_dir), labels(spark, sf_dir))
+    shares = [F.round(f"p{k}", 6).alias(f"p_{name}") for k, name in enumerate(mixing.DOMAINS)]
+    return found.select(F.col("id").alias("doc_id"), "tokens", *shares, F.round("rate", 6).alias("rate"), "copies")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op7_token_counts, op8_exact_dedup, op9_sharding)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op7_token_counts, op8_exact_dedup, op9_sharding, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
