@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudweft.llm import bpe, exact, language, mixing, pii, quality, sharding, token_count
+from cloudweft.llm import bpe, exact, jaccard, language, mixing, pii, quality, sharding, token_count
 from cloudweft.llm.common import documents, labels, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_table(documents(spark, sf_dir).select("doc_id", "text"), with_ids=False, digests=True)
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), "text")
+    return jaccard.classes(docs, 4, 85).select(F.col("id").alias("doc_id"), "n_shingles", F.col("class_id").alias("component_id"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -53,7 +58,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op7_token_counts, op8_exact_dedup, op9_sharding, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op7_token_counts, op8_exact_dedup, op9_sharding, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
