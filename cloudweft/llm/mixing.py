@@ -34,6 +34,8 @@ BUCKETS = 1 << 18
 #: A word counts if for some domain its documents n differ from those expected, e, by (n - e) ** 2 / (e + 1) or more.
 LEAST_SURPRISE = 25.0
 ROUNDS = 40
+#: Rows whose number of copies is not one are broadcast if there are at most so many, otherwise shuffled.
+BROADCAST_ROWS = 1_000_000
 TOLERANCE = 1e-4
 
 
@@ -136,5 +138,8 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     whole = F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc")
     numbered = written(docs.select(whole, F.monotonically_increasing_id().alias("at")), "numbered")
     plain = numbered.select(F.col(f"doc.`{id_col}`").alias("doc_id"), F.col(f"doc.`{text_col}`").alias("text"), "at")
-    copies = mixed(plain, labels, targets, row=F.col("at")).where("copies > 0").select(F.col("row").alias("at"), "copies")
-    return numbered.join(copies, "at").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("doc.*")
+    copies = mixed(plain, labels, targets, row=F.col("at")).where("copies <> 1").select(F.col("row").alias("at"), F.col("copies").cast("int").alias("copies"))
+    copies = written(copies, "copies")
+    side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
+    out = numbered.join(side, "at", "left").withColumn("copies", F.coalesce("copies", F.lit(1))).where("copies > 0")
+    return out.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*")

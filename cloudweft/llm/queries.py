@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cloudweft.llm import bpe, exact, jaccard, language, mixing, pii, quality, sharding, token_count
+from cloudweft.llm import bpe, exact, jaccard, language, license_scan, mixing, pii, quality, sharding, token_count
 from cloudweft.llm.common import documents, labels, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,13 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(docs, 4, 85).select(F.col("id").alias("doc_id"), "n_shingles", F.col("class_id").alias("component_id"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, sf_dir).select("doc_id", "text"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"].cast("string"), m["end"].cast("string")))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"), F.array_join(spans, ",").alias("spans"), F.round(F.array_max(F.transform("matches", lambda m: m["containment"])), 6).alias("containment"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -58,7 +65,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op7_token_counts, op8_exact_dedup, op9_sharding, op10_mixing)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_personal_data, op3_language_id, op4_byte_bpe, op5_ngram_jaccard, op6_license_scan, op7_token_counts, op8_exact_dedup, op9_sharding, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
