@@ -1,11 +1,345 @@
-"""The engine's own queries over the driver's tables."""
+"""The engine's operators as queries over the driver's tables, each with its SQL.
+
+Points come from ``lineitem``: every line is a point of one of four scans. Computed doubles are rounded on both sides.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cloudweft.functions import geometry as g
+from cloudweft.functions import messages as m
+from cloudweft.functions import text as t
+from cloudweft.functions.rigid import Rigid
+from cloudweft.operators import nearest as nn
+from cloudweft.operators import pairs, pose_graph, visual, voxel
+from cloudweft.operators.icp import align
+from cloudweft.streaming import consumer
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+#: Columns that order points: lines with the same first four differ in the last.
+ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax")
+_ORDER_SQL = ", ".join(ORDER)
+SIZES = (5.0, 5.0, 1.0)
+PTS = f"""pts AS (
+  SELECT CAST(l_suppkey % 4 AS INTEGER) AS source_id, l_quantity AS x, l_extendedprice / 1000 AS y, l_discount * 100 AS z,
+         CAST(l_linenumber % 3 AS INTEGER) AS confidence, {_ORDER_SQL}, l_partkey % 256 AS colour FROM lineitem)"""
+_CELLS = "CAST(floor(x / 5) AS BIGINT) AS kx, CAST(floor(y / 5) AS BIGINT) AS ky, CAST(floor(z / 1) AS BIGINT) AS kz"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % 4).cast("int").alias("source_id"), F.col("l_quantity").alias("x"), (F.col("l_extendedprice") / 1000).alias("y"), (F.col("l_discount") * 100).alias("z"),
+        (F.col("l_linenumber") % 3).cast("int").alias("confidence"), *ORDER, (F.col("l_partkey") % 256).alias("colour"),
+    )
+
+
+def rounded(*columns: str, digits: int = 6) -> list[F.Column]:
+    return [F.round(c, digits).alias(c) for c in columns]
+
+
+@query(f"WITH {PTS} SELECT source_id, x, y, z, confidence, {_ORDER_SQL} FROM pts WHERE confidence >= 1")
+def confidence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return points(spark, sf_dir).where("confidence >= 1").drop("colour")
+
+
+@query(f"""WITH {PTS}, p AS (
+  SELECT {_ORDER_SQL}, cos(0.3) * x + sin(0.3) * z + 500000 AS e, sin(0.3) * x - cos(0.3) * z + 4500000 AS n, y + 100 AS h FROM pts)
+SELECT {_ORDER_SQL}, round(cos(0.1) * e - sin(0.1) * n + 3, 4) AS x, round(sin(0.1) * e + cos(0.1) * n - 2, 4) AS y, round(h + 0.5, 6) AS z FROM p""")
+def affine_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    geo = F.struct(F.lit(0.3).alias("rot"), F.lit(500000.0).alias("e0"), F.lit(4500000.0).alias("n0"), F.lit(100.0).alias("h0"))
+    e, n, h = g.to_projected(F.col("x"), F.col("y"), F.col("z"), geo)
+    local = points(spark, sf_dir).select(*ORDER, e.alias("x"), n.alias("y"), h.alias("z"))
+    x, y, z = g.moved(F.col("x"), F.col("y"), F.col("z"), F.lit(0.1), F.lit(3.0), F.lit(-2.0), F.lit(0.5))
+    return local.select(*ORDER, F.round(x, 4).alias("x"), F.round(y, 4).alias("y"), F.round(z, 6).alias("z"))
+
+
+def _chosen_sql(partition: str, order: str) -> str:
+    return f"""WITH {PTS}, k AS (SELECT *, {_CELLS} FROM pts), r AS (
+  SELECT *, row_number() OVER (PARTITION BY {partition} ORDER BY {order}) AS place FROM k)
+SELECT source_id, x, y, z, confidence, {_ORDER_SQL} FROM r WHERE place = 1"""
+
+
+@query(_chosen_sql("source_id, kx, ky, kz", _ORDER_SQL))
+def voxel_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voxel.downsample(points(spark, sf_dir).drop("colour"), SIZES, ORDER)
+
+
+@query(_chosen_sql("kx, ky, kz", f"confidence DESC, {_ORDER_SQL}"))
+def voxel_best_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voxel.chosen(points(spark, sf_dir).drop("colour"), SIZES, [voxel.rank(F.col("confidence")), *map(F.col, ORDER)])
+
+
+@query(_chosen_sql("kx, ky, kz", f"(256 - confidence) % 256, {_ORDER_SQL}"))
+def voxel_uint8_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return voxel.chosen(points(spark, sf_dir).drop("colour"), SIZES, [voxel.rank(F.col("confidence"), "uint8_compat"), *map(F.col, ORDER)])
+
+
+@query(f"WITH {PTS} SELECT source_id, min(x) AS low_x, max(x) AS high_x, min(y) AS low_y, max(y) AS high_y, min(z) AS low_z, max(z) AS high_z FROM pts GROUP BY source_id")
+def scan_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.bounds(points(spark, sf_dir))
+
+
+_TILES = "CAST(l_partkey % 97 AS INTEGER) AS source_id, l_partkey % 97 * 40 + l_quantity AS x, l_suppkey % 10 * 30 + l_extendedprice / 5000 AS y, l_discount AS z"
+
+
+@query(f"""WITH t AS (SELECT {_TILES} FROM lineitem), b AS (
+  SELECT source_id, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM t GROUP BY source_id)
+SELECT a.source_id AS fixed, b.source_id AS moving FROM b AS a JOIN b ON a.source_id < b.source_id
+ AND a.lx - 5 <= b.hx AND b.lx - 5 <= a.hx AND a.ly - 5 <= b.hy AND b.ly - 5 <= a.hy""")
+def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tiles = table(spark, sf_dir, "lineitem").selectExpr(*(x for x in _TILES.split(", ")))
+    return pairs.candidate_pairs(pairs.bounds(tiles), 5.0)
+
+
+@query("WITH e AS (SELECT i AS fixed, i + 1 AS moving FROM range(0, 40) AS r(i) WHERE i <> 20) "
+       "SELECT CAST(i AS BIGINT) AS node, i <= 20 AS reached FROM range(0, 41) AS r(i)")
+def reachable_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = [pose_graph.Edge(k, k + 1, Rigid(0.01, 1.0, 0.0, 0.0), 20, 0.1, 0.5) for k in range(40) if k != 20]
+    at = pose_graph.poses(41, edges)
+    return spark.createDataFrame([(k, p is not None) for k, p in enumerate(at)], "node long, reached boolean")
+
+
+_NN = f"""{PTS}, moving AS (SELECT row_number() OVER (ORDER BY {_ORDER_SQL}) AS id, x, y, z FROM pts WHERE source_id = 0 AND l_orderkey % 40 = 0),
+fixed AS (SELECT row_number() OVER (ORDER BY {_ORDER_SQL}) AS fid, x AS fx, y AS fy, z AS fz FROM pts WHERE source_id = 1 AND l_orderkey % 4 = 0),
+near AS (SELECT id, x, y, z, fid, fx, fy, fz, sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy) + (z - fz) * (z - fz)) AS distance FROM moving CROSS JOIN fixed),
+best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, fid) AS place FROM near WHERE distance < 2),
+matched AS (SELECT id, fid, distance, x, y, z, fx, fy, fz FROM best WHERE place = 1),
+kept AS (SELECT * FROM matched WHERE distance <= (SELECT quantile_cont(distance, 0.8) FROM matched))"""
+
+
+def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    numbered = lambda df: df.select(F.row_number().over(Window.orderBy(*ORDER)).cast("long").alias("id"), "x", "y", "z")
+    every = points(spark, sf_dir)
+    moving = numbered(every.where("source_id = 0 and l_orderkey % 40 = 0"))
+    fixed = numbered(every.where("source_id = 1 and l_orderkey % 4 = 0"))
+    return nn.nearest(moving, fixed, 2.0)
+
+
+@query(f"WITH {_NN} SELECT id, fid, round(distance, 9) AS distance FROM matched")
+def nn_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matches(spark, sf_dir).select("id", "fid", *rounded("distance", digits=9))
+
+
+@query(f"WITH {_NN} SELECT count(*) AS n, round(sqrt(avg(distance * distance)), 9) AS rmse FROM kept")
+def trimmed_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn.trimmed(_matches(spark, sf_dir)).agg(F.count("*").alias("n"), F.round(nn.rmse(), 9).alias("rmse"))
+
+
+@query(f"""WITH {_NN}, f AS (SELECT atan2(covar_pop(x, fy) - covar_pop(y, fx), covar_pop(x, fx) + covar_pop(y, fy)) AS yaw,
+  avg(x) AS mx, avg(y) AS my, avg(z) AS mz, avg(fx) AS ax, avg(fy) AS ay, avg(fz) AS az, count(*) AS n FROM kept)
+SELECT round(yaw, 9) AS yaw, round(ax - (cos(yaw) * mx - sin(yaw) * my), 7) AS tx, round(ay - (sin(yaw) * mx + cos(yaw) * my), 7) AS ty, round(az - mz, 7) AS tz, n FROM f""")
+def yaw_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn.yaw_fit(nn.trimmed(_matches(spark, sf_dir))).select(*rounded("yaw", digits=9), *rounded("tx", "ty", "tz", digits=7), "n")
+
+
+@query("""WITH q AS (SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 4 = 0),
+t AS (SELECT vec_id AS tid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 4 <> 0),
+d AS (SELECT qid, tid, list_distance(q.e, t.e) AS d FROM q CROSS JOIN t),
+r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, tid) AS place FROM d)
+SELECT qid, min(tid) FILTER (WHERE place = 1) AS tid, round(min(d), 6) AS d1, round(max(d), 6) AS d2, min(d) < 0.95 * max(d) AS passes FROM r WHERE place <= 2 GROUP BY qid""")
+def knn2_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("descriptor"))
+    found = visual.knn2(vectors.where("vec_id % 4 = 0").withColumnRenamed("vec_id", "qid"), vectors.where("vec_id % 4 <> 0").withColumnRenamed("vec_id", "tid"), None)
+    return found.select("qid", "tid", *rounded("d1", "d2"), (F.col("d1") < 0.95 * F.col("d2")).alias("passes"))
+
+
+_MOTIONS = [(0, 0.0, 0.0, 0.0, 0.0), (1, 0.0, 0.3, -0.2, 0.0), (2, 0.01, 0.1, 0.0, 0.1), (3, 0.0, 0.3, -0.2, 0.0), (4, 3.0, 0.0, 0.0, 0.0)]
+
+
+@query(f"""WITH {_NN}, h(hypothesis, yaw, tx, ty, tz) AS (VALUES {", ".join(map(str, _MOTIONS))})
+SELECT hypothesis, count(*) FILTER (WHERE sqrt(pow(cos(yaw) * x - sin(yaw) * y + tx - fx, 2) + pow(sin(yaw) * x + cos(yaw) * y + ty - fy, 2) + pow(z + tz - fz, 2)) <= 1.0) AS inliers
+FROM matched CROSS JOIN h GROUP BY hypothesis""")
+def ransac_inliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hypotheses = spark.createDataFrame(_MOTIONS, "hypothesis int, yaw double, tx double, ty double, tz double")
+    return visual.inlier_counts(_matches(spark, sf_dir), hypotheses, 1.0)
+
+
+@query(f"""WITH {PTS}, e AS (SELECT source_id, l_suppkey % 10 AS other, count(*) / 10000 AS overlap, avg(z) / 100 AS rmse FROM pts GROUP BY 1, 2),
+s AS (SELECT source_id, other, overlap / greatest(rmse, 0.001) AS score FROM e)
+SELECT source_id, other, round(score, 6) AS score, row_number() OVER (PARTITION BY source_id ORDER BY round(score, 9) DESC, other) AS place FROM s""")
+def quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
+    edges = points(spark, sf_dir).groupBy("source_id", (F.col("l_suppkey") % 10).alias("other")).agg((F.count("*") / 10000).alias("overlap"), (F.avg("z") / 100).alias("rmse"))
+    scored = edges.withColumn("score", g.quality_score(F.col("overlap"), F.col("rmse")))
+    place = F.row_number().over(Window.partitionBy("source_id").orderBy(F.round("score", 9).desc(), "other"))
+    return scored.select("source_id", "other", F.round("score", 6).alias("score"), place.cast("long").alias("place"))
+
+
+_LOOPS = [(1, 0.01, 0.5, 0.2, 0.1), (2, -0.08, 0.1, 0.1, 0.0), (3, 0.0, 3.0, 4.0, 0.2), (4, 0.02, 0.6, 0.8, -1.0), (5, 0.0, 0.0, 0.0, -1.5)]
+
+
+@query(f"""WITH e(edge, yaw, tx, ty, tz) AS (VALUES {", ".join(map(str, _LOOPS))}),
+f AS (SELECT edge, abs(degrees(yaw)) AS d, sqrt(tx * tx + ty * ty) AS h, abs(tz) AS v FROM e)
+SELECT edge, round(d, 9) AS yaw_degrees, round(h, 9) AS horizontal, round(v, 9) AS vertical, d <= 3 AND h <= 1 AND v <= 1 AS accepted FROM f""")
+def loop_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = spark.createDataFrame(_LOOPS, "edge int, yaw double, tx double, ty double, tz double")
+    errors = g.loop_errors(F.col("yaw"), F.col("tx"), F.col("ty"), F.col("tz"))
+    names = ("yaw_degrees", "horizontal", "vertical")
+    return edges.select("edge", *(F.round(e, 9).alias(n) for e, n in zip(errors, names, strict=True)), g.tolerated(errors, 3.0, 1.0, 1.0).alias("accepted"))
+
+
+@query(f"""WITH {PTS}, o AS (SELECT min(x) AS ox, min(y) AS oy, min(z) AS oz FROM pts)
+SELECT {_ORDER_SQL}, CAST(round_even((x - ox) / 0.001, 0) AS INTEGER) AS qx, CAST(round_even((y - oy) / 0.001, 0) AS INTEGER) AS qy,
+       CAST(round_even((z - oz) / 0.001, 0) AS INTEGER) AS qz, CAST(colour * 257 AS INTEGER) AS red FROM pts CROSS JOIN o""")
+def las_quantize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = points(spark, sf_dir)
+    low = every.agg(*(F.min(a).alias(f"low_{a}") for a in "xyz"))
+    return every.crossJoin(F.broadcast(low)).select(*ORDER, *(g.quantised(F.col(a), F.col(f"low_{a}")).alias(f"q{a}") for a in "xyz"), g.wide_colour(F.col("colour")).alias("red"))
+
+
+def _object(kind: str, version: str = "1", organisation: str = '"org"', keys: str | None = '["a.las"]', more: str = "") -> str:
+    return f'{{"type":"{kind}","version":{version},"organizationId":{organisation},"projectId":" p@ "' + (f',"zoneScanObjectKeys":{keys}' if keys is not None else "") + more + "}"
+
+
+#: Bodies by event_id % n, @ standing for the event's number, and the rule that each breaks.
+_BODIES = [
+    (_object("mesh.generate"), None), (_object("mesh.refine", keys=None), None), (_object("mesh.other"), "type"), (_object("mesh.generate", version="2"), "version"),
+    (_object("mesh.generate", organisation='"  "'), "organizationId"), (_object("mesh.generate", keys="[]"), "zoneScanObjectKeys"), (_object("mesh.refine"), "extra_fields"),
+    (_object("mesh.generate", more=',"extra":1'), "extra_fields"), ("[1,2]", "not_object"), ("not json @", "not_json"), (_object("mesh.generate", keys="[1]"), "zoneScanObjectKeys"), (_object("mesh.generate", organisation="7"), "organizationId"),
+]
+_CASES = " ".join(f"WHEN {k} THEN replace('{body}', '@', CAST(event_id AS VARCHAR))" for k, (body, _) in enumerate(_BODIES))
+
+
+@query(f"""WITH b AS (SELECT event_id, CASE event_id % {len(_BODIES)} {_CASES} END AS body FROM events),
+j AS (SELECT event_id, try_cast(body AS JSON) AS j FROM b),
+f AS (SELECT event_id, j, json_type(j) AS kind, CASE WHEN json_type(j, '$.type') = 'VARCHAR' THEN j ->> '$.type' END AS type,
+  CASE WHEN json_type(j, '$.organizationId') = 'VARCHAR' THEN trim(j ->> '$.organizationId') END AS organisation,
+  CASE WHEN json_type(j, '$.projectId') = 'VARCHAR' THEN trim(j ->> '$.projectId') END AS project FROM j),
+e AS (SELECT *, CASE WHEN j IS NULL THEN 'not_json' WHEN kind <> 'OBJECT' THEN 'not_object'
+  WHEN type IS NULL OR type NOT IN ('mesh.generate', 'mesh.refine') THEN 'type'
+  WHEN coalesce(organisation, '') = '' THEN 'organizationId' WHEN coalesce(project, '') = '' THEN 'projectId'
+  WHEN type = 'mesh.generate' AND (coalesce(json_array_length(j, '$.zoneScanObjectKeys'), 0) = 0 OR json_type(j, '$.zoneScanObjectKeys[0]') <> 'VARCHAR') THEN 'zoneScanObjectKeys'
+  WHEN json_exists(j, '$.version') AND NOT (json_type(j, '$.version') IN ('UBIGINT', 'BIGINT') AND j ->> '$.version' = '1') THEN 'version'
+  WHEN len(list_filter(json_keys(j), lambda x: x NOT IN ('type', 'version', 'organizationId', 'projectId') AND NOT (type = 'mesh.generate' AND x = 'zoneScanObjectKeys'))) > 0 THEN 'extra_fields' END AS error FROM f)
+SELECT event_id, CASE WHEN error IS NULL THEN type END AS type, CASE WHEN error IS NULL THEN project END AS project, error FROM e""")
+def message_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.lit(None).cast("string")
+    number = F.col("event_id") % len(_BODIES)
+    for k, (text, _) in enumerate(_BODIES):
+        body = F.when(number == k, F.replace(F.lit(text), F.lit("@"), F.col("event_id").cast("string"))).otherwise(body)
+    sent = table(spark, sf_dir, "events").select("event_id", body.alias("body"))
+    return m.validated(sent).select("event_id", "type", F.col("projectId").alias("project"), "error")
+
+
+@query("""WITH m AS (SELECT user_id, ts, event_id, CAST(event_type = 'error' AS INTEGER) AS bad FROM events),
+i AS (SELECT *, sum(1 - bad) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM m),
+r AS (SELECT user_id, island, sum(bad) AS n FROM i GROUP BY 1, 2)
+SELECT user_id, CAST(max(n) AS BIGINT) AS longest, CAST(arg_max(n, island) AS BIGINT) AS current FROM r GROUP BY user_id""")
+def failure_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consumer.failure_streaks(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error")
+
+
+@query("""WITH g AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS previous FROM events)
+SELECT user_id, ts, previous FROM g WHERE ts - previous >= INTERVAL 60 SECOND""")
+def idle_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consumer.idle_gaps(table(spark, sf_dir, "events"), "user_id", "ts")
+
+
+@query("SELECT n, CAST(least(15 * pow(2, n - 1), 300) AS DOUBLE) AS seconds FROM range(1, 13) AS r(n)")
+def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.range(1, 13).select(F.col("id").alias("n"), consumer.backoff_column(F.col("id")).alias("seconds"))
+
+
+@query(r"""SELECT page_id, coalesce(nullif(left(regexp_replace(url, '[^\p{L}\p{N}_-]', '_', 'g'), 64), ''), 'job') AS label,
+  regexp_extract(replace(url, '\', '/'), '[^/]*$') AS segment, regexp_extract(replace(url, '\', '/'), '[^/]*$') NOT IN ('', '.', '..') AS usable FROM pages""")
+def key_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = t.last_segment(F.col("url"))
+    return table(spark, sf_dir, "pages").select("page_id", t.sanitised(F.col("url")).alias("label"), last.alias("segment"), t.usable_segment(last).alias("usable"))
+
+
+@query(f"""WITH {PTS} SELECT 0 AS scan, source_id, count(*) AS n, round(sum(x), 4) AS total FROM pts WHERE source_id IN (0, 1) GROUP BY source_id
+UNION ALL SELECT 1, source_id, count(*), round(sum(x + 10), 4) FROM pts WHERE source_id IN (2, 3) GROUP BY source_id""")
+def provenance_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    every = points(spark, sf_dir)
+    parts = [every.where(F.col("source_id").isin(a, b)).withColumn("scan", F.lit(k)).withColumn("x", F.col("x") + 10.0 * k) for k, (a, b) in enumerate([(0, 1), (2, 3)])]
+    return parts[0].unionByName(parts[1]).groupBy("scan", "source_id").agg(F.count("*").alias("n"), F.round(F.sum("x"), 4).alias("total"))
+
+
+@query("""SELECT o_orderkey, CAST(floor(-0.5 + greatest(least(round_even(o_totalprice / 1000, 0), 191), 0) + 0.5) AS BIGINT) + 192 * CAST(greatest(least(round_even(o_custkey / 7.0, 0), 255), 0) AS BIGINT) AS place FROM orders""")
+def depth_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    offset = g.depth_offset(F.col("o_totalprice") / 1000, F.col("o_custkey") / 7.0, F.lit(192), F.lit(256), F.lit(192), F.lit(256))
+    return table(spark, sf_dir, "orders").select("o_orderkey", offset.alias("place"))
+
+
+@query("""SELECT o_orderkey, round((o_totalprice / 1000 - 320) * d / 450 + 1, 9) AS x, round(-((o_custkey - 240) * d / 460) + 2, 9) AS y, round(-d + 3, 8) AS z
+FROM (SELECT *, o_totalprice / 100000 AS d FROM orders) AS o WHERE d > 0.05 AND d <= 8""")
+def depth_unproject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lens = F.array(*(F.lit(v) for v in (450.0, 0.0, 0.0, 0.0, 460.0, 0.0, 320.0, 240.0, 1.0)))
+    pose = F.array(*(F.lit(v) for v in (1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 1.0, 2.0, 3.0, 1.0)))
+    orders = table(spark, sf_dir, "orders").withColumn("d", F.col("o_totalprice") / 100000).where(g.usable_depth(F.col("d")))
+    x, y, z = g.unprojected(F.col("o_totalprice") / 1000, F.col("o_custkey").cast("double"), F.col("d"), lens, pose)
+    return orders.select("o_orderkey", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"), F.round(z, 8).alias("z"))
+
+
+@query()
+def report_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON document of scans and their bounds, in the order of source_id."""
+    boxes = pairs.bounds(points(spark, sf_dir))
+    scan = F.struct(F.col("source_id").alias("sourceId"), *(F.round(f"{n}_{a}", 6).alias(f"{n}{a.upper()}") for a in "xyz" for n in ("low", "high")))
+    return boxes.agg(F.to_json(F.struct(F.lit(1).alias("formatVersion"), F.sort_array(F.collect_list(scan)).alias("scans"))).alias("report"))
+
+
+@query()
+def icp_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cloud moved by a known motion, aligned back: the motion that was found, in each pair's worker."""
+    import numpy as np
+    import pandas as pd
+
+    true = Rigid(0.05, 0.3, -0.2, 0.1)
+    cloud = voxel.downsample(points(spark, sf_dir), 1.0, ORDER, ()).orderBy(*ORDER).limit(3000).select("x", "y", "z")
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        xyz = pdf[["x", "y", "z"]].to_numpy()
+        xyz = xyz[np.lexsort(xyz.T)]
+        found = align(true.apply(xyz), xyz, 1.0)
+        row = (np.nan,) * 4 if found is None else (found.motion.yaw, found.motion.tx, found.motion.ty, found.motion.tz)
+        return pd.DataFrame([tuple(round(float(v), 4) for v in row) + (len(xyz),)], columns=["yaw", "tx", "ty", "tz", "n"])
+
+    return cloud.groupBy(F.lit(0).alias("pair")).applyInPandas(one, "yaw double, tx double, ty double, tz double, n long")
+
+
+@query()
+def pose_graph_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A loop of five scans with one contradictory edge: which edges stay, and the poses."""
+    steps = [Rigid(0.1, 5.0, 0.5, 0.0)] * 4
+    edges = [pose_graph.Edge(k, k + 1, s, 100, 0.05, 0.6) for k, s in enumerate(steps)]
+    closing = steps[0] @ steps[1] @ steps[2] @ steps[3]
+    edges += [pose_graph.Edge(0, 4, closing, 100, 0.05, 0.3), pose_graph.Edge(1, 3, Rigid(0.9, 1.0, 1.0, 0.0), 50, 0.05, 0.2)]
+    taken, refused = pose_graph.consistent(5, edges)
+    found = pose_graph.optimised(5, taken)
+    rows = [(k, round(p.yaw, 6), round(p.tx, 6), round(p.ty, 6), round(p.tz, 6), len(taken), json.dumps([r.edge.key for r in refused])) for k, p in enumerate(found)]
+    return spark.createDataFrame(rows, "scan int, yaw double, tx double, ty double, tz double, n_edges int, rejected string")
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -1,0 +1,98 @@
+import json
+
+import numpy as np
+import pytest
+
+from cloudweft.functions.rigid import Rigid
+from cloudweft.operators.pose_graph import Edge
+from cloudweft.plans import merge
+from cloudweft.plans.registration import RegistrationParams, aligned, prepared, register_scans, solve
+from cloudweft.sinks.las import read_cloud, utm_wkt
+from cloudweft.sources.packages import open_package
+from tests.packages import write_package
+
+
+def test_one_package_end_to_end(spark, tmp_path):
+    write_package(tmp_path / "in", "a", [[0, 0, 0], [1, 2, 3], [2, 4, 6.005], [2, 4, 6.012]], confidence=[1, 2, 1, 2])
+    out = merge.merge_scan_projects(spark, [tmp_path / "in"], tmp_path / "out" / "cloud.las", transformed_scans_dir=tmp_path / "t", original_scans_dir=tmp_path / "o")
+    assert out.point_count == 3
+    facts, records = read_cloud(out.output)
+    assert facts["version"] == (1, 4) and facts["format"] == 7 and facts["count"] == 3 and facts["wkt"]
+    assert np.allclose(facts["xyz"], [[500000, 4500000, 100], [500001, 4499997, 102], [500002, 4499993.988, 104]], atol=2e-3)
+    assert records["red"].tolist() == [2570] * 3 and records["blue"].tolist() == [65535] * 3
+    assert records["confidence"].tolist() == [1, 2, 2] and records["scan_time"].tolist() == [0.0, 0.5, 1.5]
+    report = json.loads(out.report.read_text())
+    assert report["formatVersion"] == 1 and report["exportedPointCount"] == 3 and report["anchorScan"] == "a"
+    assert report["scans"][0]["finalTransform"] == report["scans"][0]["initialTransform"]
+    for files in (out.transformed_scans, out.original_scans):
+        assert [f.name for f in files] == ["000-a.las"]
+        assert read_cloud(files[0])[0]["count"] == 4
+    assert not list(tmp_path.rglob("*.tmp*"))
+
+
+def scene(seed=4, n=4000):
+    rng = np.random.default_rng(seed)
+    floor = np.column_stack([rng.uniform(-6, 6, n), np.zeros(n), rng.uniform(-6, 6, n)])
+    wall = np.column_stack([rng.uniform(-6, 6, n), rng.uniform(0, 3, n), np.full(n, -6.0)])
+    side = np.column_stack([np.full(n, 6.0), rng.uniform(0, 3, n), rng.uniform(-6, 6, n)])
+    return np.vstack([floor, wall, side, rng.uniform(-5, 5, (n, 3)) * (1, 0.3, 1) + (0, 1.5, 0)])
+
+
+def test_three_scans_are_registered(spark, tmp_path):
+    points = scene()
+    shifts = [(0, 0, 0), (0.25, 0.1, -0.15), (-0.2, -0.05, 0.3)]
+    packages = [open_package(write_package(tmp_path, f"s{k}", points + np.array(s), confidence=2)) for k, s in enumerate(shifts)]
+    result = register_scans(spark, packages, RegistrationParams(voxel_size=0.3, maximum_distance=1.5))
+    assert {e.key for e in result.edges} == {(0, 1), (0, 2), (1, 2)}
+    first = result.finals()[0]
+    for final, s in zip(result.finals(), shifts):
+        at = final @ np.array([s[0], s[1], s[2], 1.0])
+        assert np.linalg.norm(at[:3] - (first @ [0, 0, 0, 1])[:3]) < 0.2  # a fraction of the sampling voxel
+    count = merge.export_merged_cloud(spark, result, tmp_path / "m.las", deduplicate_voxel=0.05)
+    assert count < 1.6 * len(points)
+    assert merge.export_merged_cloud(spark, result, tmp_path / "m.parquet", deduplicate_voxel=0) == 3 * len(points)
+    _, records = read_cloud(tmp_path / "m.las")
+    assert set(records["source_id"].tolist()) == {0, 1, 2}
+
+
+def test_local_and_joined_alignment_agree(spark, tmp_path):
+    points = scene(n=150)
+    packages = [open_package(write_package(tmp_path, f"s{k}", points + k * 0.05, confidence=2)) for k in range(2)]
+    table = prepared(spark, packages, RegistrationParams(voxel_size=0.5)).persist()
+    sizes = {r.source_id: r["count"] for r in table.groupBy("source_id").count().collect()}
+    widest = {(0, 1): 0.6}
+    a = aligned(table, [(0, 1)], widest, {}, sizes, iterations=2)[0, 1]
+    b = aligned(table, [(0, 1)], widest, {}, sizes, iterations=2, local_points=0)[0, 1]
+    assert a[1] == b[1] and abs(a[2] - b[2]) < 1e-9 and np.allclose(a[0].matrix(), b[0].matrix(), atol=1e-5)
+
+
+def test_inputs_that_cannot_be_registered(spark, tmp_path):
+    one = open_package(write_package(tmp_path, "a", np.eye(3), confidence=2))
+    far = open_package(write_package(tmp_path, "b", np.eye(3), confidence=2, east=900_000.0))
+    none = open_package(write_package(tmp_path, "c", np.eye(3), geoReference=None))
+    other = open_package(write_package(tmp_path, "d", np.eye(3), geoReference={"epsgCode": 32619, "originEasting": 0, "originNorthing": 0, "originAltitude": 0, "worldToENURotationRadians": 0}))
+    few = open_package(write_package(tmp_path, "e", np.eye(3), confidence=0))
+    for packages, message in (([], "at least one"), ([one, none], "no georeference"), ([one, other], "different"), ([few], "too few"), ([one, far], "connect")):
+        with pytest.raises(ValueError, match=message):
+            register_scans(spark, packages)
+
+
+def test_corrections_are_counted_from_zero_again(tmp_path):
+    packages = [open_package(write_package(tmp_path, n, np.eye(3))) for n in "ab"]
+    motion = Rigid(0.13).rebased((500_000.0, 4_500_000.0, 100.0), to_centred=False)
+    result = solve(packages, [Edge(0, 1, motion, 50, 0.01, 0.5)], RegistrationParams())
+    assert np.allclose(result.corrections[1].matrix(), motion.matrix(), atol=1e-4)
+
+
+def test_empty_cloud_and_names(spark, tmp_path):
+    packages = [open_package(write_package(tmp_path / d, "same", np.eye(3), confidence=1)) for d in "xy"]
+    result = solve(packages, [Edge(0, 1, Rigid(), 50, 0.01, 0.5)], RegistrationParams())
+    files = merge.export_transformed_scans(spark, result, tmp_path / "out", 9)
+    assert [f.name for f in files] == ["000-same.las", "001-same.las"]
+    assert read_cloud(files[0])[0]["count"] == 0 and read_cloud(files[0])[0]["offsets"] == (0.0, 0.0, 0.0)
+    with pytest.raises(ValueError):
+        merge.export_merged_cloud(spark, result, tmp_path / "x.las") if utm_wkt(4326) else None
+
+
+def test_coordinate_systems():
+    assert '"EPSG","32618"' in utm_wkt(32618) and "-75" in utm_wkt(32618) and "10000000" in utm_wkt(32733)
