@@ -20,14 +20,17 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cloudweft.llm.common import small_batches
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
-#: Rows whose pre-tokens are looked at to fill tier one, entries that it takes from them, and entries of a worker's cache.
+#: Rows whose pre-tokens are looked at to fill tier one, the longest text among them, entries that tier one takes from
+#: them, and entries of a worker's cache.
 SAMPLE_ROWS = 2000
+SAMPLE_CHARS = 8192
 FREQUENT = 30_000
 CACHE_ENTRIES = 400_000
 #: Characters of a text that are split at once.
@@ -67,19 +70,13 @@ def lengths(parts: list[str], path: str) -> list[int]:
 
 
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", rows: int = SAMPLE_ROWS, entries: int = FREQUENT) -> dict[str, int]:
-    """Tier one, of at most ``entries`` strings of at most 32 characters; counted where the sample lies."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(x for x in pre_tokens(text or "") if len(x) <= 32)
-        frequent = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:entries]
-        parts = [x for x, _ in frequent if not any(s in x for s in specials(path))]
-        yield pa.RecordBatch.from_arrays([pa.array(parts, pa.string()), pa.array(lengths(parts, path), pa.int64())], names=["part", "n"])
-
-    sample = docs.select(text_col).limit(rows).coalesce(1)
-    return {row.part: row.n for row in sample.mapInArrow(run, "part string, n long").collect()}
+    """Tier one, of at most ``entries`` strings of at most 32 characters, from at most ``rows`` texts of bounded length."""
+    seen: Counter[str] = Counter()
+    for row in docs.select(F.col(text_col).alias("text")).where(F.length("text") <= SAMPLE_CHARS).limit(rows).collect():
+        seen.update(x for x in pre_tokens(row.text) if len(x) <= 32)
+    frequent = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:entries]
+    parts = [x for x, _ in frequent if not any(s in x for s in specials(path))]
+    return dict(zip(parts, lengths(parts, path), strict=True))
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text", limit: int = TOKEN_LIMIT, rows: int = SAMPLE_ROWS) -> DataFrame:
