@@ -7,9 +7,9 @@ from pathlib import Path
 from typing import Any
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from cloudweft.functions.geometry import depth_offset, unprojected, usable_depth
 from cloudweft.functions.rigid import Rigid, fit_yaw
@@ -99,17 +99,35 @@ def register_keyframes(fixed: Path, moving: Path, fixed_features: Features | Non
     return seeded(project(there, moving_matrix), project(here, fixed_matrix), len(matches), least, threshold)
 
 
-def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO) -> DataFrame:
+def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, blocks: int = 8, skip_same: bool = False) -> DataFrame:
     """(qid, tid, d1, d2) of the nearest and second nearest target of each (qid, descriptor) among (tid, descriptor).
 
-    Targets are grouped into blocks, and each query meets one block after another, keeping two of each: exact, without
-    all pairs in one place. With a ratio, only matches that pass its test are kept.
+    Both sides are dealt into blocks; each pair of blocks meets in one worker, which keeps the two nearest of its block
+    for each query, so neither side is ever whole in one place. Exact; ties go to the lowest tid. With a ratio, only
+    matches that pass its test are kept; ``skip_same`` leaves out a target with the query's own id.
     """
-    apart = F.sqrt(F.aggregate(F.zip_with("q", "t", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x))
-    blocks = targets.groupBy(F.pmod(F.xxhash64("tid"), F.lit(64)).alias("block")).agg(F.collect_list(F.struct("tid", F.col("descriptor").alias("t"))).alias("items"))
-    near = queries.select("qid", F.col("descriptor").alias("q")).join(F.broadcast(blocks)).select("qid", "q", F.explode("items").alias("i")).select("qid", "q", "i.*")
-    two = near.select("qid", "tid", apart.alias("d")).withColumn("place", F.row_number().over(Window.partitionBy("qid").orderBy("d", "tid"))).where("place <= 2")
-    found = two.groupBy("qid").agg(F.min_by("tid", "place").alias("tid"), F.min("d").alias("d1"), F.max("d").alias("d2"), F.count("*").alias("n")).where("n = 2").drop("n")
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    left = queries.select("qid", "descriptor", block("qid").alias("qb"), every.alias("tb"))
+    right = targets.select("tid", "descriptor", block("tid").alias("tb"), every.alias("qb"))
+
+    def two(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(q) and len(t):
+            t = t.sort_values("tid")
+            ids, here = t["tid"].to_numpy(), np.stack(t["descriptor"]).astype(float)
+            for qid, d in zip(q["qid"], q["descriptor"], strict=True):
+                apart = np.sqrt(((here - np.asarray(d, dtype=float)) ** 2).sum(axis=1))
+                if skip_same:
+                    apart[ids == qid] = np.inf
+                best = np.argsort(apart, kind="stable")[:2]
+                rows += [(qid, ids[k], apart[k]) for k in best if np.isfinite(apart[k])]
+        return pd.DataFrame(rows, columns=["qid", "tid", "d"])
+
+    kinds = f"qid {queries.schema['qid'].dataType.simpleString()}, tid {targets.schema['tid'].dataType.simpleString()}, d double"
+    near = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInPandas(two, kinds)
+    best = near.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "tid"))), 1, 2).alias("two")).where(F.size("two") == 2)  # two for each block
+    found = best.select("qid", F.col("two")[0]["tid"].alias("tid"), F.col("two")[0]["d"].alias("d1"), F.col("two")[1]["d"].alias("d2"))
     return found if ratio is None else found.where(F.col("d1") < ratio * F.col("d2"))
 
 

@@ -122,22 +122,20 @@ def reachable_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(k, p is not None) for k, p in enumerate(at)], "node long, reached boolean")
 
 
-_NN = f"""{PTS}, moving AS (SELECT row_number() OVER (ORDER BY {_ORDER_SQL}) AS id, x, y, z FROM pts WHERE source_id = 0 AND l_orderkey % 40 = 0),
-fixed AS (SELECT row_number() OVER (ORDER BY {_ORDER_SQL}) AS fid, x AS fx, y AS fy, z AS fz FROM pts WHERE source_id = 1 AND l_orderkey % 4 = 0),
-near AS (SELECT id, x, y, z, fid, fx, fy, fz, sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy) + (z - fz) * (z - fz)) AS distance FROM moving CROSS JOIN fixed),
-best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, fid) AS place FROM near WHERE distance < 2),
+#: Points of two scans, known by the four whole numbers of their line; all of scan 0 against all of scan 1.
+_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+_NN = f"""{PTS}, moving AS (SELECT {_ID} AS id, x, y, z FROM pts WHERE source_id = 0),
+fixed AS (SELECT {_ID} AS fid, x AS fx, y AS fy, z AS fz FROM pts WHERE source_id = 1),
+near AS (SELECT id, x, y, z, fid, fx, fy, fz, sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy) + (z - fz) * (z - fz)) AS distance
+  FROM moving JOIN fixed ON y > fy - 1 AND y < fy + 1 WHERE abs(x - fx) < 1 AND abs(z - fz) < 1),
+best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, fid) AS place FROM near WHERE distance < 1),
 matched AS (SELECT id, fid, distance, x, y, z, fx, fy, fz FROM best WHERE place = 1),
 kept AS (SELECT * FROM matched WHERE distance <= (SELECT quantile_cont(distance, 0.8) FROM matched))"""
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import Window
-
-    numbered = lambda df: df.select(F.row_number().over(Window.orderBy(*ORDER)).cast("long").alias("id"), "x", "y", "z")
-    every = points(spark, sf_dir)
-    moving = numbered(every.where("source_id = 0 and l_orderkey % 40 = 0"))
-    fixed = numbered(every.where("source_id = 1 and l_orderkey % 4 = 0"))
-    return nn.nearest(moving, fixed, 2.0)
+    every = points(spark, sf_dir).select("source_id", F.expr(_ID).alias("id"), "x", "y", "z")
+    return nn.nearest(every.where("source_id = 0"), every.where("source_id = 1"), 1.0)
 
 
 @query(f"WITH {_NN} SELECT id, fid, round(distance, 9) AS distance FROM matched")
@@ -157,14 +155,14 @@ def yaw_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn.yaw_fit(nn.trimmed(_matches(spark, sf_dir))).select(*rounded("yaw", digits=9), *rounded("tx", "ty", "tz", digits=7), "n")
 
 
-@query("""WITH q AS (SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 4 = 0),
-t AS (SELECT vec_id AS tid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 4 <> 0),
-d AS (SELECT qid, tid, list_distance(q.e, t.e) AS d FROM q CROSS JOIN t),
+@query("""WITH q AS (SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 100 = 0),
+t AS (SELECT vec_id AS tid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+d AS (SELECT qid, tid, list_distance(q.e, t.e) AS d FROM q CROSS JOIN t WHERE qid <> tid),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d, tid) AS place FROM d)
 SELECT qid, min(tid) FILTER (WHERE place = 1) AS tid, round(min(d), 6) AS d1, round(max(d), 6) AS d2, min(d) < 0.95 * max(d) AS passes FROM r WHERE place <= 2 GROUP BY qid""")
 def knn2_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("descriptor"))
-    found = visual.knn2(vectors.where("vec_id % 4 = 0").withColumnRenamed("vec_id", "qid"), vectors.where("vec_id % 4 <> 0").withColumnRenamed("vec_id", "tid"), None)
+    found = visual.knn2(vectors.where("vec_id % 100 = 0").withColumnRenamed("vec_id", "qid"), vectors.withColumnRenamed("vec_id", "tid"), None, skip_same=True)
     return found.select("qid", "tid", *rounded("d1", "d2"), (F.col("d1") < 0.95 * F.col("d2")).alias("passes"))
 
 
@@ -311,8 +309,8 @@ def icp_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     import numpy as np
     import pandas as pd
 
-    true = Rigid(0.05, 0.3, -0.2, 0.1)
-    cloud = voxel.downsample(points(spark, sf_dir), 1.0, ORDER, ()).orderBy(*ORDER).limit(3000).select("x", "y", "z")
+    true = Rigid(0.004, 0.12, -0.08, 0.05)
+    cloud = voxel.downsample(points(spark, sf_dir), 2.0, ORDER, ()).select("x", "y", "z")
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         xyz = pdf[["x", "y", "z"]].to_numpy()
