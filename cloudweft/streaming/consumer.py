@@ -178,3 +178,25 @@ def streak_stream(events: DataFrame, key: str, limit: int = FAILURES) -> DataFra
 
     kind = events.schema[key].dataType.simpleString()
     return events.groupBy(key).applyInPandasWithState(count, f"{key} {kind}, streak long, over boolean", "streak long", "update", GroupStateTimeout.NoTimeout)
+
+
+def main() -> int:
+    """A worker on a folder queue that checks each message and logs its type; 1 if it gave up after failures.
+
+    A message that cannot be handled is not acknowledged, so it is offered again.
+    """
+    import logging
+
+    from cloudweft.config import require_env
+    from cloudweft.functions.messages import parse_job
+    from cloudweft.streaming.queue import FolderQueue
+
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    log = logging.getLogger("cloudweft.worker")
+
+    def handle(body: Any) -> None:
+        log.info("message of type %s", parse_job(body).type)
+
+    reason = Worker(FolderQueue(require_env("QUEUE_FOLDER")["QUEUE_FOLDER"]), handle).on_signals().run()
+    log.info("stopped: %s", reason)
+    return int(reason.startswith("failures"))

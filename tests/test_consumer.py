@@ -236,3 +236,18 @@ def test_text_rules(spark):
     assert paths.select(t.stem(F.col("s")), t.numbered(F.lit(7), 3)).first()[:] == ("b", "007")
     names = spark.createDataFrame([("a.bin",), ("../a",), ("/a",), ("b/../../c",)], "s string")
     assert [r[0] for r in names.select(t.inside(F.lit("k"), F.col("s"))).collect()] == [True, False, False, False]
+
+
+def test_worker_command(tmp_path, monkeypatch):
+    queue = FolderQueue(tmp_path)
+    queue.send(json.dumps(REFINE))
+    monkeypatch.setenv("QUEUE_FOLDER", str(tmp_path))
+    monkeypatch.setattr(consumer.Worker, "on_signals", lambda self: self)
+    monkeypatch.setattr(consumer, "IDLE_S", 0.0)
+    assert consumer.main() == 0 and not list((tmp_path / "pending").iterdir()) and not list((tmp_path / "leased").iterdir())
+
+
+def test_public_names():
+    from cloudweft import api
+
+    assert all(hasattr(api, name) for name in api.__all__)
