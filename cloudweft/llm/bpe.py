@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with the tiktoken library and a local rank file.
 
 Defined results: a null text counts as empty and has no ids; an empty text likewise; repeated rows give repeated
-results; an empty table gives an empty result; columns other than the two named ones are not read.
+results; an empty table gives an empty result; other columns, nulls in them too, are kept as they are, and those named
+as a column of the result are replaced by it.
 """
 
 from __future__ import annotations

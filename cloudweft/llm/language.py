@@ -6,7 +6,8 @@ broadcast. Scoring takes the matrix rows of a batch's n-grams at once.
 
 Defined results: a text that is null, empty or without a letter gives ``und`` with score 0; a language that is null is
 not learned from; with nothing to learn from every text gives ``und``; ties go to the language that sorts first;
-repeated rows give repeated results; very long texts are taken whole, in slices of ``SLICE`` characters.
+repeated rows give repeated results; very long texts are taken whole, in slices of ``SLICE`` characters; other columns
+are kept as they are, and those named as a column of the result are replaced by it.
 """
 
 from __future__ import annotations

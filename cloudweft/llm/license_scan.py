@@ -8,7 +8,7 @@ window shares with a template is the hash of a shingle that both hold, so only w
 need bands. A retrieved template matches where the window's shingles contain at least ``CONTAINMENT`` of its own.
 
 Defined results: null, empty and short texts have no licence; repeated rows get equal results; an empty table gives an
-empty result; other columns are not read; long texts are taken whole. Matches of one template that overlap are one span.
+empty result; other columns are kept as they are, a column ``matches`` is replaced; long texts are taken whole. Matches of one template that overlap are one span.
 """
 
 from __future__ import annotations

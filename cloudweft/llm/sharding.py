@@ -11,7 +11,8 @@ With ``slack`` 0 shards take N // shards rows, and the first N % shards of them
 (the law ``rows``). With a larger slack fewer rows move when a shard is added.
 
 Defined results: a null text has no bytes and the checksum of the empty text; a null doc_id is a key as any other;
-repeated rows are told apart by their place in the input and fill shards one by one; an empty table gives an empty result.
+repeated rows are told apart by their place in the input and fill shards one by one; an empty table gives an empty
+result; other columns are not read.
 """
 
 from __future__ import annotations

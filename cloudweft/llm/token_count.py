@@ -5,7 +5,8 @@ tables only save work: each length comes from the library, so the counts do not
 never shuffled.
 
 Defined results: a null text counts as empty, with no bytes and no tokens; repeated rows give repeated results; an
-empty table gives an empty result; columns other than the two named ones are not read. Special strings inside a text
+empty table gives an empty result; other columns are kept as they are, and those named as a column of the result are
+replaced by it. Special strings inside a text
 are taken as special tokens, which is the library's default; texts that hold one go through the library as a whole.
 """
 
