@@ -4,8 +4,9 @@ Rows are grouped by the length of the normalised text (without white space); row
 a hash of its first ``PREFIX`` characters; only rows that still share both are told apart by the SHA-256 of the whole
 text. Of equal texts the row with the most code points in the original text stays, then the smallest doc_id.
 
-Groups of any size are counted and decided by partial aggregation. Joins back to the rows have one row for each key on
-the other side, so adaptive execution can split a hot key.
+Groups of any size are counted and decided by partial aggregation. What is decided, one row for each key, is written and
+joined back from there: a small table is broadcast, and otherwise both sides of the join are plain shuffles, whose hot
+keys adaptive execution can split.
 
 Defined results: a null text counts as empty, and all empty texts are equal; a null doc_id sorts after all others; of
 repeated rows exactly one stays; an empty table gives an empty result; other columns are kept as they are.
@@ -37,9 +38,9 @@ def prefix_hash(normal: Column) -> Column:
 
 def repeated_keys(keys: DataFrame) -> DataFrame:
     """(n_normal, prefix) of more than one row; ``keys`` has both columns. Lengths first, then prefixes."""
-    lengths = keys.groupBy("n_normal").agg(F.count("*").alias("n")).where("n > 1").select("n_normal")
+    lengths = written(keys.groupBy("n_normal").agg(F.count("*").alias("n")).where("n > 1").select("n_normal"), "lengths")
     alike = keys.join(lengths, "n_normal", "left_semi")
-    return alike.groupBy("n_normal", "prefix").agg(F.count("*").alias("n")).where("n > 1").select("n_normal", "prefix")
+    return written(alike.groupBy("n_normal", "prefix").agg(F.count("*").alias("n")).where("n > 1").select("n_normal", "prefix"), "repeated")
 
 
 def best(*first: Column, id_col: str = "doc_id") -> Column:
@@ -55,7 +56,7 @@ def groups(docs: DataFrame) -> DataFrame:
     rows = written(rows, "exact")
     survivors = rows.join(repeated_keys(rows.select("n_normal", "prefix")), ["n_normal", "prefix"], "left_semi")
     order = best((-F.col("n_chars")).alias("n"))
-    same = survivors.groupBy("n_normal", "prefix", "text_sha256").agg(F.min(F.struct(order.alias("by"), "row")).alias("best"), F.count("*").alias("size"))
+    same = written(survivors.groupBy("n_normal", "prefix", "text_sha256").agg(F.min(F.struct(order.alias("by"), "row")).alias("best"), F.count("*").alias("size")), "same")
     out = rows.join(same, ["n_normal", "prefix", "text_sha256"], "left")
     alone = F.col("best").isNull()
     return out.select(
@@ -72,7 +73,7 @@ def drop_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     prefix repeat; the other rows are not shuffled while the repeated keys are few enough to broadcast."""
     normal = squeezed(F.col(text_col))
     keyed = docs.select(F.struct("*").alias("doc"), F.length(normal).alias("n_normal"), prefix_hash(normal).alias("prefix"))
-    keys = written(repeated_keys(docs.select(F.length(normal).alias("n_normal"), prefix_hash(normal).alias("prefix"))), "repeated")
+    keys = repeated_keys(docs.select(F.length(normal).alias("n_normal"), prefix_hash(normal).alias("prefix")))
     side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     alone = keyed.join(side, ["n_normal", "prefix"], "left_anti").select("doc")
     again = keyed.join(side, ["n_normal", "prefix"], "left_semi").withColumn("sha", F.sha2(squeezed(F.col("doc")[text_col]), 256))
