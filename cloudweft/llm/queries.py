@@ -69,7 +69,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": EXACT_SQL}
+    return {"op5_ngram_jaccard": JACCARD_SQL, "op8_exact_dedup": EXACT_SQL}
 
 
 EXACT_SQL = """
@@ -83,3 +83,21 @@ SELECT doc_id,
        sha256(normal) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY normal ORDER BY n DESC, doc_id)
 """
+
+JACCARD_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle FROM w
+), n AS (
+  SELECT w.doc_id, count(s.shingle) AS n_shingles FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s AS a JOIN s AS b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), e AS (
+  SELECT a, b FROM p JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n_shingles + y.n_shingles - shared)
+), r(a, b) AS (
+  SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+)
+SELECT n.doc_id, n.n_shingles, least(n.doc_id, coalesce(min(r.b), n.doc_id)) AS component_id FROM n LEFT JOIN r ON r.a = n.doc_id GROUP BY n.doc_id, n.n_shingles
+"""
