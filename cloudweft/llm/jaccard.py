@@ -96,7 +96,8 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     """All signatures of one set. In bands in which linked sets are equal there is none."""
     ends = bands(max(1, -(-len(own) * 100 // percent)), percent)
     band = int(np.searchsorted(ends, len(own)))
-    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(mixed(own + _U(0x9E3779B97F4A7C15)), dtype=np.uint64)])
+    each = mixed(own + _U(0x9E3779B97F4A7C15))
+    sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(each, dtype=np.uint64)])
     found = []
     for level in (band, band + 1):
         upper = int(ends[level]) if level < len(ends) else int(bands(int(ends[-1]) + 1, percent)[level])
@@ -109,14 +110,31 @@ def signatures(own: np.ndarray, percent: int) -> np.ndarray:
         tag = mixed(np.arange(parts, dtype=np.uint64) + _U(level << 32))
         full = count > 1
         found.append(mixed(tag[full] ^ (value[full] * _ODD[2])))
-        for i in np.flatnonzero(~full):
-            after = (i + 1) % parts
-            rest = own[at[after] : at[after + 1]]
-            options = value[after : after + 1] - np.concatenate([np.zeros(1, dtype=np.uint64), mixed(rest + _U(0x9E3779B97F4A7C15))])
-            found.append(mixed(tag[i : i + 1] ^ (value[i : i + 1] * _ODD[3]) ^ mixed(options + _U(7))))
+        thin = np.flatnonzero(~full)
+        after = (thin + 1) % parts
+        options = count[after] + 1  # the next partition as it is, and without each one of its elements
+        which = np.repeat(np.arange(len(thin)), options)
+        number = np.arange(len(which)) - np.repeat(np.cumsum(options) - options, options)
+        without = np.where(number > 0, each[np.minimum(at[after][which] + np.maximum(number - 1, 0), len(own) - 1)], _U(0))
+        rest = value[after][which] - without
+        found.append(mixed(tag[thin][which] ^ (value[thin][which] * _ODD[3]) ^ mixed(rest + _U(7))))
     return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64)
 
 
+def long_sketch(own: np.ndarray) -> bytes:
+    """Parities of the elements in cells of which there are four times as many as elements, in a power of two."""
+    size = max(512, 1 << (4 * max(1, len(own)) - 1).bit_length())
+    return np.packbits((np.bincount((own & _U(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the number of elements in which two sets differ; the longer sketch is folded onto the other."""
+    a, b = sorted((np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)), key=len)
+    while len(b) > len(a):
+        b = b[: len(b) // 2] ^ b[len(b) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def node_table(docs: DataFrame, n: int) -> DataFrame:
     """``docs`` is (row, id, text): (row, id, digest, node, n_shingles, s0..), digest being a hash of the text."""
     small_batches(docs.sparkSession)
@@ -156,7 +174,7 @@ def signature_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def set_table(docs: DataFrame, n: int) -> DataFrame:
-    """(node, elements) of the texts in ``docs``, once for each partition of the input."""
+    """(node, size, cells, elements) of the texts in ``docs``, once for each partition of the input."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -167,32 +185,45 @@ def set_table(docs: DataFrame, n: int) -> DataFrame:
                 if (node := node_of(own)) not in seen:
                     seen.add(node)
                     nodes.append(node)
-                    sets.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "elements"])
+                    sets.append(own)
+            arrays = [pa.array(nodes, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(long_sketch, sets), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "cells", "elements"])
 
-    return docs.select("text").mapInArrow(run, "node long, elements binary")
+    return docs.select("text").mapInArrow(run, "node long, size long, cells binary, elements binary")
 
 
 def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets link. The set of b travels to a, of which there are few: a is the centre of a bucket."""
+    """The pairs (a, b) whose sets link. Long sketches, a sixteenth of the sets, leave hardly any other pairs; for those
+    that are left the sets themselves are compared."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     digests = written(nodes.join(needed, "node", "left_semi").select("digest").distinct(), f"digests-{name}")
     side = F.broadcast(digests) if digests.count() <= BROADCAST_KEYS else digests
     texts = docs.select("text", F.xxhash64("text").alias("digest")).join(side, "digest", "left_semi")
     sets = written(set_table(texts, n).dropDuplicates(["node"]), f"sets-{name}")
     small_batches(docs.sparkSession, 500)
-    whole = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("own")), "a").join(sets.select(F.col("node").alias("b"), F.col("elements").alias("other")), "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def both(some: DataFrame, *columns: str) -> DataFrame:
+        for end in ("a", "b"):
+            some = some.join(sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns)), end)
+        return some.select("a", "b", *(f"{c}_{end}" for c in columns for end in ("a", "b")))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)
+            keep = [least_difference(x, y) * (100 + percent) <= (100 - percent) * (a + b) for a, b, x, y in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for own, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 x, y = np.frombuffer(own, dtype=np.uint64), np.frombuffer(other, dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return written(whole.select("a", "b", "own", "other").mapInArrow(run, "a long, b long"), f"linked-{name}")
+    close = written(both(pairs, "size", "cells").mapInArrow(near, "a long, b long"), f"close-{name}")
+    return written(both(close, "elements").mapInArrow(exact, "a long, b long"), f"linked-{name}")
 
 
 def bucket_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -203,17 +234,18 @@ def bucket_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``docs`` is (row, id, text) with distinct rows: (row, id, n_shingles, class_row, class_id), the last two of the
-    class's row with the smallest id, then the smallest row."""
+    """``docs`` is (row, id, text) with distinct rows: (row, id, digest, n_shingles, class_digest, class_row, class_id), the
+    last three of the class's row with the smallest id, then the smallest row."""
     nodes = written(node_table(docs, n), "nodes")
     parts = [f"s{k}" for k in range(WORDS)]
     single = nodes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), *(F.first(s).alias(s) for s in parts))
     buckets = bucket_table(docs, n, percent)
     known = written(single.join(buckets.select("node").distinct(), "node", "left_semi"), "known")
 
-    sizes = buckets.groupBy("signature").agg(F.count("*").alias("n"))
-    company = buckets.join(sizes, "signature").groupBy("node").agg(F.sum("n").alias("company"))
-    centres = buckets.join(company, "node").groupBy("signature").agg(F.max(F.struct("company", "node"))["node"].alias("centre"))
+    # One row for each signature or node is written before it is joined back, so that hot keys of the other side can be split.
+    sizes = written(buckets.groupBy("signature").agg(F.count("*").alias("n")), "sizes")
+    company = written(buckets.join(sizes, "signature").groupBy("node").agg(F.sum("n").alias("company")), "company")
+    centres = buckets.join(company, "node").groupBy("signature").agg(F.max_by("node", "company").alias("centre"))
     centres = written(centres, "centres")
     star = buckets.join(centres, "signature").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
 
@@ -232,8 +264,10 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
 
     # What a centre does not reach: nodes of a bucket outside its component, against nodes of other components.
     placed = buckets.join(found, "node", "left").select("signature", "node", F.coalesce("label", "node").alias("label"))
+    placed = written(placed, "labelled")
     open_ = placed.groupBy("signature").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("signature")
-    placed = placed.join(open_, "signature").join(centres, "signature").join(known, "node")
+    open_ = written(open_.join(centres, "signature"), "open")
+    placed = placed.join(open_, "signature").join(known, "node")
     labels = found.select(F.col("node").alias("centre"), F.col("label").alias("main"))
     placed = written(placed.join(labels, "centre", "left").withColumn("outside", F.col("label") != F.coalesce("main", "centre")).drop("main"), "placed")
     outer = placed.where("outside").select("signature", *(F.col(c).alias(f"{c}_a") for c in ("node", "label", "n_shingles", *parts)))
@@ -244,18 +278,33 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
     links = links.union(linked(rest, nodes, docs, n, percent, "rest"))
     found = components(written(links, "all-links"))
 
-    member = nodes.join(found, "node", "left").select("row", "id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")).alias("label"))
-    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
-    best = member.where("label is not null").groupBy("label").agg(F.min(first).alias("best"))
+    member = nodes.join(found, "node", "left").select("row", "id", "digest", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")).alias("label"))
+    member = written(member, "members")
+    first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "digest")
+    best = written(member.where("label is not null").groupBy("label").agg(F.min(first).alias("best")), "best")
     out = member.join(best, "label", "left")
-    return out.select("row", "id", "n_shingles", F.coalesce("best.row", "row").alias("class_row"), F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("class_id"))
+    return out.select("row", "id", "digest", "n_shingles", F.coalesce("best.digest", "digest").alias("class_digest"), F.coalesce("best.row", "row").alias("class_row"), F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """The row with the smallest id of each class of linked documents, with all columns of ``docs``."""
-    whole = F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc")
-    numbered = written(docs.select(whole, F.monotonically_increasing_id().alias("row")), "numbered")
-    plain = numbered.select("row", F.col(f"doc.`{id_col}`").alias("id"), F.col(f"doc.`{text_col}`").alias("text"))
-    gone = written(classes(plain, n, percent).where("row <> class_row").select("row"), "gone")
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_KEYS else gone
-    return numbered.join(side, "row", "left_anti").select("doc.*")
+    """The row with the smallest id of each class of linked documents, with all columns of ``docs``.
+
+    Rows are told apart by id and a hash of the text, so they need no number; of rows equal in both, one stays.
+    """
+    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    found = written(classes(plain, n, percent), "classes")
+    stays = F.col("id").eqNullSafe(F.col("class_id")) & F.col("digest").eqNullSafe(F.col("class_digest"))
+    gone = written(found.where(~stays).select("id", "digest").distinct(), "gone")
+    again = written(found.where(stays).groupBy("id", "digest").agg(F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles")).where("n > 1 and n_shingles > 0").select("id", "digest"), "again")
+    keyed = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(F.col(text_col)).alias("digest"), F.col(id_col).alias("id"))
+
+    def at(side: DataFrame, how: str) -> DataFrame:
+        near = (F.broadcast(side) if side.count() <= BROADCAST_KEYS else side).withColumnsRenamed({"id": "side_id", "digest": "side_digest"})
+        return keyed.join(near, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")), how)
+
+    keyed = at(gone, "left_anti")
+    if again.isEmpty():
+        return keyed.select("doc.*")
+    single = at(again, "left_anti").select("doc")
+    chosen = at(again, "left_semi").groupBy("digest", "id").agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc")
+    return single.unionByName(chosen).select("doc.*")

@@ -76,19 +76,19 @@ def classifier(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str) -
     return table.where(surprise >= LEAST_SURPRISE).select("bucket", *(w.alias(f"w{k}") for k, w in enumerate(weights))), prior
 
 
-def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", row: Column | None = None) -> DataFrame:
-    """(row, id, tokens, p0, p1, p2) for each row of ``docs``, written to the shared folder."""
+def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(row, id, digest, tokens, p0, p1, p2) for each row of ``docs``, written to the shared folder."""
     table, prior = classifier(docs, labels, text_col, id_col)
     table = written(table, "classifier")
     own = words(F.col(text_col))
-    each = docs.select(F.col(id_col).alias("id"), (F.monotonically_increasing_id() if row is None else row).alias("row"), own.alias("words")).select("id", "row", F.size("words").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
+    each = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text_col).alias("digest"), own.alias("words")).select("id", "row", "digest", F.size("words").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
     joined = each.withColumn("bucket", bucket(F.coalesce("word", F.lit("")))).join(F.broadcast(table), "bucket", "left")
-    sums = joined.groupBy("row", "id", "tokens").agg(*(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(DOMAINS))))
+    sums = joined.groupBy("row", "id", "digest", "tokens").agg(*(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(DOMAINS))))
     logs = [F.col(f"s{k}") + prior[k] for k in range(len(DOMAINS))]
     most = F.greatest(*logs)
     parts = [F.exp(x - most) for x in logs]
     whole = sum(parts[1:], parts[0])
-    return written(sums.select("row", "id", F.col("tokens").cast("long").alias("tokens"), *((x / whole).alias(f"p{k}") for k, x in enumerate(parts))), "posteriors")
+    return written(sums.select("row", "id", "digest", F.col("tokens").cast("long").alias("tokens"), *((x / whole).alias(f"p{k}") for k, x in enumerate(parts))), "posteriors")
 
 
 def rate(gradients: list[list[float]]) -> Column:
@@ -126,20 +126,20 @@ def uniform(*by: Column) -> Column:
     return F.pmod(F.xxhash64(*by, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id", row: Column | None = None) -> DataFrame:
-    """(row, id, tokens, p0, p1, p2, rate, copies): copies is the rate, rounded up or down by a hash of the doc_id."""
-    table = posteriors(docs, labels, text_col, id_col, row)
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """(row, id, digest, tokens, p0, p1, p2, rate, copies): copies is the rate, rounded up or down by a hash of the doc_id."""
+    table = posteriors(docs, labels, text_col, id_col)
     gradients, _ = fit(table, targets or TARGETS)
     return table.withColumn("rate", rate(gradients)).withColumn("copies", F.floor(F.col("rate") + uniform(F.col("id"), F.col("tokens"))).cast("long"))
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """Each row of ``docs`` as often as its rate says, with all its columns."""
-    whole = F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc")
-    numbered = written(docs.select(whole, F.monotonically_increasing_id().alias("at")), "numbered")
-    plain = numbered.select(F.col(f"doc.`{id_col}`").alias("doc_id"), F.col(f"doc.`{text_col}`").alias("text"), "at")
-    copies = mixed(plain, labels, targets, row=F.col("at")).where("copies <> 1").select(F.col("row").alias("at"), F.col("copies").cast("int").alias("copies"))
-    copies = written(copies, "copies")
+    """Each row of ``docs`` as often as its rate says, with all its columns. Rates depend on id and text only, so these
+    and not row numbers lead back to the rows."""
+    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    copies = written(mixed(plain, labels, targets).where("copies <> 1").select(F.col("id").alias("side_id"), F.col("digest").alias("side_digest"), F.col("copies").cast("int").alias("copies")).distinct(), "copies")
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    out = numbered.join(side, "at", "left").withColumn("copies", F.coalesce("copies", F.lit(1))).where("copies > 0")
-    return out.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("doc.*")
+    keyed = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(F.col(text_col)).alias("digest"), F.col(id_col).alias("id"))
+    out = keyed.join(side, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")), "left")
+    times = F.coalesce("copies", F.lit(1))
+    return out.where(times > 0).select("doc", F.explode(F.sequence(F.lit(1), times)).alias("copy")).select("doc.*")
