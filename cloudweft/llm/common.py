@@ -22,11 +22,11 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of at most ``rows`` rows and 16 MB, so that very long texts do not fill a Python worker."""
+def small_batches(spark: SparkSession, rows: int = 256) -> None:
+    """Arrow batches of at most ``rows`` rows and 4 MB, so that very long texts fill neither a Python worker nor the buffers."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def shared_dir(spark: SparkSession) -> str:

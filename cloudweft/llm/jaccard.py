@@ -42,6 +42,9 @@ WORDS = 8
 #: Keys that are broadcast at most; more are shuffled.
 BROADCAST_KEYS = 1_000_000
 
+#: Partitions of the signatures, in times of the session's number of shuffle partitions.
+SIGNATURE_PARTITIONS = 4
+
 _U = np.uint64
 _ODD = np.array([pow(0xD1342543DE82EF95, k + 1, 1 << 64) | 1 for k in range(16)], dtype=np.uint64)
 
@@ -200,7 +203,7 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent:
     side = F.broadcast(digests) if digests.count() <= BROADCAST_KEYS else digests
     texts = docs.select("text", F.xxhash64("text").alias("digest")).join(side, "digest", "left_semi")
     sets = written(set_table(texts, n).dropDuplicates(["node"]), f"sets-{name}")
-    small_batches(docs.sparkSession, 500)
+    small_batches(docs.sparkSession)
 
     def both(some: DataFrame, *columns: str) -> DataFrame:
         for end in ("a", "b"):
@@ -229,7 +232,9 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent:
 def bucket_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(signature, node) of the signatures that several nodes share."""
     own = Window.partitionBy("signature")
-    shared = signature_table(docs, n, percent).select("signature", "node", F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high")).where("low <> high")
+    # Nearly all rows are alone with their signature and end here, so partitions are kept small for the sort.
+    parts = SIGNATURE_PARTITIONS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = signature_table(docs, n, percent).repartition(parts, "signature").select("signature", "node", F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high")).where("low <> high")
     return written(shared.select("signature", "node").distinct(), "buckets")
 
 
