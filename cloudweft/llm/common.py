@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: The six ASCII white-space characters that separate words, as a Java character class and as bytes.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -33,19 +34,50 @@ def shared_dir(spark: SparkSession) -> str:
     """A folder that the driver and all executors see: ``spark.checkpoint.dir``; a temporary one only in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), "checkpoints")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+#: Paths of the tables that this driver has written, in order; None where one is gone.
+_TABLES: list[str | None] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: the lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cloudweft-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def normal_text(text):
-    """The text without white space, as exact duplicate removal compares it; null counts as empty."""
-    return F.translate(F.coalesce(text, F.lit("")), " \t\n\u000b\u000c\r", "")
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cloudweft_path = path
+    _TABLES.append(path)
+    return out
+
+
+def tables() -> int:
+    """A mark for ``discard``."""
+    return len(_TABLES)
+
+
+def discard(spark: SparkSession, since: int, *keep: DataFrame) -> None:
+    """Deletes the tables written since the mark but those that are kept. Whatever is still to be computed may depend on
+    kept tables only."""
+    kept = {getattr(df, "_cloudweft_path", None) for df in keep}
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for k in range(since, len(_TABLES)):
+        if (path := _TABLES[k]) is not None and path not in kept:
+            target = hadoop.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            _TABLES[k] = None
+
+
+def release(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of finished jobs now: Spark removes them once the driver's collector has seen that
+    nothing refers to them, which may otherwise be long after the next job has filled the disk. Twice, as the first time
+    may only free what Python still held."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.2)

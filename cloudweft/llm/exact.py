@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudweft.llm.common import written
+from cloudweft.llm.common import discard, tables, written
 
 PREFIX = 64
 #: Keys of the second refinement are broadcast if there are at most so many (16 bytes each), otherwise shuffled.
@@ -54,9 +54,11 @@ def groups(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n_chars"), normal.alias("normal"))
     rows = rows.select("doc_id", "n_chars", F.length("normal").alias("n_normal"), prefix_hash(F.col("normal")).alias("prefix"), F.sha2("normal", 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row"))
     rows = written(rows, "exact")
+    mark = tables()
     survivors = rows.join(repeated_keys(rows.select("n_normal", "prefix")), ["n_normal", "prefix"], "left_semi")
     order = best((-F.col("n_chars")).alias("n"))
     same = written(survivors.groupBy("n_normal", "prefix", "text_sha256").agg(F.min(F.struct(order.alias("by"), "row")).alias("best"), F.count("*").alias("size")), "same")
+    discard(docs.sparkSession, mark, same)
     out = rows.join(same, ["n_normal", "prefix", "text_sha256"], "left")
     alone = F.col("best").isNull()
     return out.select(

@@ -9,7 +9,7 @@ them is equal in both sets. Of the partitions in a ring, some equal one is even
 one element. A partition with fewer than two elements would be equal in unlike sets; there the next partition, whole
 and without each one of its elements, joins the signature. So every link shares a signature.
 
-Equal sets are one node. Signatures of more than one node make buckets; each bucket compares its nodes with a centre,
+Equal sets are one node. Two nodes alone with a signature are a pair. Of more, each bucket compares its nodes with a centre,
 the node with most company in all its buckets, and then, where links so far leave several components in a bucket, the
 nodes outside the centre's component with all nodes of other components. Pairs pass a bound first: the parities of
 ``WORDS`` x 64 hashed cells differ in at most as many places as the sets have different elements. The sets themselves decide.
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from cloudweft.llm.common import small_batches, written
+from cloudweft.llm.common import discard, release, small_batches, tables, written
 from cloudweft.llm.graph import components
 
 SHINGLE = 5
@@ -176,37 +176,45 @@ def signature_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "signature long, node long")
 
 
-def set_table(docs: DataFrame, n: int) -> DataFrame:
-    """(node, size, cells, elements) of the texts in ``docs``, once for each partition of the input."""
+def set_table(texts: DataFrame, n: int) -> DataFrame:
+    """(node, size, cells, elements) of (node, text): the long sketch, and the upper halves of the hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
         for batch in batches:
-            nodes, sets = [], []
-            for text in batch.column(0).to_pylist():
-                own = shingles(text, n)
-                if (node := node_of(own)) not in seen:
-                    seen.add(node)
-                    nodes.append(node)
-                    sets.append(own)
-            arrays = [pa.array(nodes, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(long_sketch, sets), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            sets = [shingles(text, n) for text in batch.column(1).to_pylist()]
+            halves = [(x >> _U(32)).astype(np.uint32).tobytes() for x in sets]
+            arrays = [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(long_sketch, sets), pa.binary()), pa.array(halves, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "cells", "elements"])
 
-    return docs.select("text").mapInArrow(run, "node long, size long, cells binary, elements binary")
+    return texts.select("node", "text").mapInArrow(run, "node long, size long, cells binary, elements binary")
+
+
+def shared_elements(x: bytes, y: bytes) -> int:
+    """How many elements two sets have in common, from the upper halves of their hashes. Equal halves of one set count as
+    often as they occur; of two elements in which the sets differ, one in 2 ** 32 pairs is taken for a common one."""
+    a, many = np.unique(np.frombuffer(x, dtype=np.uint32), return_counts=True)
+    b, more = np.unique(np.frombuffer(y, dtype=np.uint32), return_counts=True)
+    _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    return int(np.minimum(many[at], more[to]).sum())
 
 
 def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) whose sets link. Long sketches, a sixteenth of the sets, leave hardly any other pairs; for those
-    that are left the sets themselves are compared."""
+    """The pairs (a, b) whose sets link. Long sketches, an eighth of what is compared in the end, leave hardly any other
+    pairs. One document of each node is read again for it; the set of b travels to a, which is a centre with many pairs."""
+    spark, mark = docs.sparkSession, tables()
+    small_batches(spark)
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    digests = written(nodes.join(needed, "node", "left_semi").select("digest").distinct(), f"digests-{name}")
-    side = F.broadcast(digests) if digests.count() <= BROADCAST_KEYS else digests
-    texts = docs.select("text", F.xxhash64("text").alias("digest")).join(side, "digest", "left_semi")
-    sets = written(set_table(texts, n).dropDuplicates(["node"]), f"sets-{name}")
-    small_batches(docs.sparkSession)
+    first = nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.min_by("id", "row").alias("side_id"), F.min_by("digest", "row").alias("side_digest"))
+    first = written(first, f"first-{name}")
+    wanted = first.count()
+    side = F.broadcast(first) if wanted <= BROADCAST_KEYS else first
+    texts = docs.select("id", "text", F.xxhash64("text").alias("digest")).join(side, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")))
+    sets = written(set_table(texts, n), f"sets-{name}")
+    if sets.count() > wanted:  # rows that are repeated as a whole
+        sets = written(sets.dropDuplicates(["node"]), f"single-{name}")
 
     def both(some: DataFrame, *columns: str) -> DataFrame:
-        for end in ("a", "b"):
+        for end in ("b", "a"):
             some = some.join(sets.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns)), end)
         return some.select("a", "b", *(f"{c}_{end}" for c in columns for end in ("a", "b")))
 
@@ -219,40 +227,51 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent:
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for own, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(own, dtype=np.uint64), np.frombuffer(other, dtype=np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                shared = shared_elements(x, y)
+                keep.append(100 * shared >= percent * ((len(x) + len(y)) // 4 - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     close = written(both(pairs, "size", "cells").mapInArrow(near, "a long, b long"), f"close-{name}")
-    return written(both(close, "elements").mapInArrow(exact, "a long, b long"), f"linked-{name}")
+    found = written(both(close, "elements").mapInArrow(exact, "a long, b long"), f"linked-{name}")
+    discard(spark, mark, found)
+    release(spark)
+    return found
 
 
-def bucket_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(signature, node) of the signatures that several nodes share."""
+def bucket_table(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b) of the signatures that just two nodes share, and (signature, node, n) of those that more share."""
     own = Window.partitionBy("signature")
     # Nearly all rows are alone with their signature and end here, so partitions are kept small for the sort.
     parts = SIGNATURE_PARTITIONS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shared = signature_table(docs, n, percent).repartition(parts, "signature").select("signature", "node", F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high")).where("low <> high")
-    return written(shared.select("signature", "node").distinct(), "buckets")
+    rows = signature_table(docs, n, percent).repartition(parts, "signature")
+    rows = rows.select("signature", "node", F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high"), F.count("*").over(own).alias("n"))
+    two = F.col("n") == 2
+    shared = rows.where("low <> high").where(~two | (F.col("node") == F.col("low")))
+    shared = written(shared.select(F.when(~two, F.col("signature")).alias("signature"), "node", F.when(two, F.col("high")).alias("other"), "n"), "shared")
+    pairs = shared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+    return pairs, shared.where("other is null").groupBy("signature", "node").agg(F.max("n").alias("n"))
 
 
 def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """``docs`` is (row, id, text) with distinct rows: (row, id, digest, n_shingles, class_digest, class_row, class_id), the
     last three of the class's row with the smallest id, then the smallest row."""
+    mark = tables()
     nodes = written(node_table(docs, n), "nodes")
     parts = [f"s{k}" for k in range(WORDS)]
     single = nodes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), *(F.first(s).alias(s) for s in parts))
-    buckets = bucket_table(docs, n, percent)
-    known = written(single.join(buckets.select("node").distinct(), "node", "left_semi"), "known")
-
-    # One row for each signature or node is written before it is joined back, so that hot keys of the other side can be split.
-    sizes = written(buckets.groupBy("signature").agg(F.count("*").alias("n")), "sizes")
-    company = written(buckets.join(sizes, "signature").groupBy("node").agg(F.sum("n").alias("company")), "company")
+    pairs, buckets = bucket_table(docs, n, percent)
+    release(docs.sparkSession)
+    pairs, buckets = written(pairs, "pairs"), written(buckets, "buckets")
+    met = buckets.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
+    known = written(single.join(met, "node", "left_semi"), "known")
+
+    # One row for each node or signature is written before it is joined back, so that hot keys of the other side can be split.
+    company = written(buckets.groupBy("node").agg(F.sum("n").alias("company")), "company")
     centres = buckets.join(company, "node").groupBy("signature").agg(F.max_by("node", "company").alias("centre"))
     centres = written(centres, "centres")
-    star = buckets.join(centres, "signature").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    star = buckets.join(centres, "signature").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+    star = star.union(pairs).distinct()
 
     def pruned(pairs: DataFrame, name: str) -> DataFrame:
         first = pairs.join(known.withColumnsRenamed({"node": "a", **{c: f"{c}_a" for c in ("n_shingles", *parts)}}), "a")
@@ -287,6 +306,7 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
     member = written(member, "members")
     first = F.struct(F.col("id").isNull().alias("no_id"), "id", "row", "digest")
     best = written(member.where("label is not null").groupBy("label").agg(F.min(first).alias("best")), "best")
+    discard(docs.sparkSession, mark, member, best)
     out = member.join(best, "label", "left")
     return out.select("row", "id", "digest", "n_shingles", F.coalesce("best.digest", "digest").alias("class_digest"), F.coalesce("best.row", "row").alias("class_row"), F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("class_id"))
 
