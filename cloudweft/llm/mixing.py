@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudweft.llm.common import SPACE_CLASS, written
+from cloudweft.llm.common import SPACE_CLASS, discard, tables, written
 
 DOMAINS = ("clean", "low", "toxic")
 #: Shares of the tokens that the mixture is to have, and its size as a share of the tokens there are.
@@ -33,10 +33,12 @@ LABELLED_ROWS = 200_000
 BUCKETS = 1 << 18
 #: A word counts if for some domain its documents n differ from those expected, e, by (n - e) ** 2 / (e + 1) or more.
 LEAST_SURPRISE = 25.0
+#: Rounds end when all errors are within the tolerance, or when the squared error falls by less than this share in a round.
 ROUNDS = 40
 #: Rows whose number of copies is not one are broadcast if there are at most so many, otherwise shuffled.
 BROADCAST_ROWS = 1_000_000
 TOLERANCE = 1e-4
+LEAST_GAIN = 0.01
 
 
 def words(text: Column) -> Column:
@@ -78,6 +80,7 @@ def classifier(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str) -
 
 def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(row, id, digest, tokens, p0, p1, p2) for each row of ``docs``, written to the shared folder."""
+    mark = tables()
     table, prior = classifier(docs, labels, text_col, id_col)
     table = written(table, "classifier")
     own = words(F.col(text_col))
@@ -88,7 +91,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_co
     most = F.greatest(*logs)
     parts = [F.exp(x - most) for x in logs]
     whole = sum(parts[1:], parts[0])
-    return written(sums.select("row", "id", "digest", F.col("tokens").cast("long").alias("tokens"), *((x / whole).alias(f"p{k}") for k, x in enumerate(parts))), "posteriors")
+    found = written(sums.select("row", "id", "digest", F.col("tokens").cast("long").alias("tokens"), *((x / whole).alias(f"p{k}") for k, x in enumerate(parts))), "posteriors")
+    discard(docs.sparkSession, mark, found)
+    return found
 
 
 def rate(gradients: list[list[float]]) -> Column:
@@ -109,14 +114,15 @@ def fit(table: DataFrame, targets: dict[str, float], rounds: int = ROUNDS) -> tu
     share = [max(first[f"s{k}"] / first.t, 1e-3) for k in n]
     goal = [SIZE * targets.get(d, 0.0) / sum(targets.values()) for d in DOMAINS]
     gradients: list[list[float]] = []
-    got = [0.0 for _ in n]
+    got, cost = [0.0 for _ in n], math.inf
     for _ in range(rounds):
         r = rate(gradients)
         sums = table.agg(*(F.sum(F.col("tokens") * r * F.col(f"p{k}")).alias(f"s{k}") for k in n)).first()
         got = [sums[f"s{k}"] / first.t for k in n]
         # With errors over shares the curvature is at most 1, so a step of 1 is safe.
         gradient = [(got[k] - goal[k]) / share[k] for k in n]
-        if max(abs(got[k] - goal[k]) for k in n) < TOLERANCE:
+        before, cost = cost, sum((got[k] - goal[k]) ** 2 / share[k] for k in n)
+        if max(abs(got[k] - goal[k]) for k in n) < TOLERANCE or cost > (1 - LEAST_GAIN) * before:
             break
         gradients.append([round(g, 9) for g in gradient])
     return gradients, got
@@ -137,7 +143,9 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """Each row of ``docs`` as often as its rate says, with all its columns. Rates depend on id and text only, so these
     and not row numbers lead back to the rows."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    mark = tables()
     copies = written(mixed(plain, labels, targets).where("copies <> 1").select(F.col("id").alias("side_id"), F.col("digest").alias("side_digest"), F.col("copies").cast("int").alias("copies")).distinct(), "copies")
+    discard(docs.sparkSession, mark, copies)
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     keyed = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(F.col(text_col)).alias("digest"), F.col(id_col).alias("id"))
     out = keyed.join(side, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")), "left")
