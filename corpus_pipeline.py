@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cloudweft.llm import bpe, exact, jaccard, mixing, quality
-from cloudweft.llm.common import documents, labels, written
+from cloudweft.llm.common import discard, documents, labels, tables, written
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage keeps is written to the shared folder before the next one reads it."""
-    docs = documents(spark, sf_dir)
+    docs, mark = documents(spark, sf_dir), tables()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(spark, mark, docs)
     return STAGES[-1][1](spark, docs, sf_dir)
