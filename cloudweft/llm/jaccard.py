@@ -208,14 +208,13 @@ def shared_elements(x: bytes, y: bytes) -> int:
     return int(np.minimum(many[at], more[to]).sum())
 
 
-def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
+def linked(pairs: DataFrame, single: DataFrame, docs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) whose sets link. Long sketches, an eighth of what is compared in the end, leave hardly any other
     pairs. One document of each node is read again for it; the set of b travels to a, which is a centre with many pairs."""
     spark, mark = docs.sparkSession, tables()
     small_batches(spark)
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    first = nodes.join(needed, "node", "left_semi").groupBy("node").agg(F.min_by("id", "row").alias("side_id"), F.min_by("digest", "row").alias("side_digest"))
-    first = written(first, f"first-{name}")
+    first = written(single.join(needed, "node", "left_semi").select("node", "side_id", "side_digest"), f"first-{name}")
     wanted = first.count()
     side = F.broadcast(first) if wanted <= BROADCAST_KEYS else first
     texts = docs.select("id", "text", F.xxhash64("text").alias("digest")).join(side, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")))
@@ -269,12 +268,14 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
     mark = tables()
     nodes = written(node_table(docs, n), "nodes")
     parts = [f"s{k}" for k in range(WORDS)]
-    single = nodes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), *(F.first(s).alias(s) for s in parts))
+    # One row for each node, by partial aggregation: many equal texts are one row from here on.
+    some = [F.min_by("id", "row").alias("side_id"), F.min_by("digest", "row").alias("side_digest")]
+    single = written(nodes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), *(F.first(s).alias(s) for s in parts), *some), "single")
     pairs, buckets = bucket_table(docs, n, percent)
     release(docs.sparkSession)
     pairs, buckets = written(pairs, "pairs"), written(buckets, "buckets")
     met = buckets.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
-    known = written(single.join(met, "node", "left_semi"), "known")
+    known = written(single.drop("side_id", "side_digest").join(met, "node", "left_semi"), "known")
 
     # One row for each node or signature is written before it is joined back, so that hot keys of the other side can be split.
     company = written(buckets.groupBy("node").agg(F.sum("n").alias("company")), "company")
@@ -293,7 +294,7 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
         differ = reduce(Column.__add__, (F.bit_count(F.col(f"{s}{own}").bitwiseXOR(F.col(f"{s}{other}"))) for s in parts))
         return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (differ * (100 + percent) <= (100 - percent) * (a + b))
 
-    links = linked(pruned(star, "star"), nodes, docs, n, percent, "star")
+    links = linked(pruned(star, "star"), single, docs, n, percent, "star")
     found = components(links)
 
     # What a centre does not reach: nodes of a bucket outside its component, against nodes of other components.
@@ -309,7 +310,7 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
     fresh = (F.col("label") != F.col("label_a")) & (~F.col("outside") | (F.col("node_a") < F.col("node"))) & bound("", "_a")
     rest = outer.join(inner, (outer.signature == inner.signature) & fresh).select(F.col("node_a").alias("a"), F.col("node").alias("b"))
     rest = written(rest.distinct(), "rest")
-    links = links.union(linked(rest, nodes, docs, n, percent, "rest"))
+    links = links.union(linked(rest, single, docs, n, percent, "rest"))
     found = components(written(links, "all-links"))
 
     member = nodes.join(found, "node", "left").select("row", "id", "digest", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")).alias("label"))
