@@ -8,6 +8,7 @@ A round reads one narrow table, sums one number for each domain, and moves each
 three sums come to the driver, and the rates stay distributed.
 
 The classifier is fitted on a bounded sample of labelled rows: the ``LABELLED_ROWS`` with the smallest hash of doc_id.
+They come from ``known``, which a pipeline sets to all documents: those left by earlier stages lack whole domains.
 Its table of words has at most ``BUCKETS`` rows. Everything else covers all rows.
 
 Defined results: a null or empty text has no tokens, the prior as its posterior, and a rate as any other document; rows
@@ -78,10 +79,11 @@ def classifier(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str) -
     return table.where(surprise >= LEAST_SURPRISE).select("bucket", *(w.alias(f"w{k}") for k, w in enumerate(weights))), prior
 
 
-def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(row, id, digest, tokens, p0, p1, p2) for each row of ``docs``, written to the shared folder."""
+def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
+    """(row, id, digest, tokens, p0, p1, p2) for each row of ``docs``, written to the shared folder. The classifier is
+    fitted on the labelled rows of ``known``, by default ``docs``."""
     mark = tables()
-    table, prior = classifier(docs, labels, text_col, id_col)
+    table, prior = classifier(docs if known is None else known, labels, text_col, id_col)
     table = written(table, "classifier")
     own = words(F.col(text_col))
     each = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text_col).alias("digest"), own.alias("words")).select("id", "row", "digest", F.size("words").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
@@ -132,19 +134,19 @@ def uniform(*by: Column) -> Column:
     return F.pmod(F.xxhash64(*by, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
     """(row, id, digest, tokens, p0, p1, p2, rate, copies): copies is the rate, rounded up or down by a hash of the doc_id."""
-    table = posteriors(docs, labels, text_col, id_col)
+    table = posteriors(docs, labels, text_col, id_col, known)
     gradients, _ = fit(table, targets or TARGETS)
     return table.withColumn("rate", rate(gradients)).withColumn("copies", F.floor(F.col("rate") + uniform(F.col("id"), F.col("tokens"))).cast("long"))
 
 
-def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
     """Each row of ``docs`` as often as its rate says, with all its columns. Rates depend on id and text only, so these
-    and not row numbers lead back to the rows."""
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    and not row numbers lead back to the rows. ``known`` has the labelled rows to learn from, where ``docs`` lost some."""
+    pair = (F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     mark = tables()
-    copies = written(mixed(plain, labels, targets).where("copies <> 1").select(F.col("id").alias("side_id"), F.col("digest").alias("side_digest"), F.col("copies").cast("int").alias("copies")).distinct(), "copies")
+    copies = written(mixed(docs.select(*pair), labels, targets, known=None if known is None else known.select(*pair)).where("copies <> 1").select(F.col("id").alias("side_id"), F.col("digest").alias("side_digest"), F.col("copies").cast("int").alias("copies")).distinct(), "copies")
     discard(docs.sparkSession, mark, copies)
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     keyed = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(F.col(text_col)).alias("digest"), F.col(id_col).alias("id"))

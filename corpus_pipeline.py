@@ -28,8 +28,9 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as their fitted rates say, for the target weights of domains."""
-    return mixing.mix(docs, labels(spark, sf_dir))
+    """Documents as often as their fitted rates say, for the target weights of domains, which are learned from all labelled
+    documents and not only from those left."""
+    return mixing.mix(docs, labels(spark, sf_dir), known=documents(spark, sf_dir))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,6 +122,27 @@ def test_mixing_repeats_and_drops_rows(spark, table, monkeypatch, limit):
     assert Counter(r.doc_id for r in out.collect()) == +want
 
 
+def test_mixture_learns_domains_that_earlier_stages_removed(spark, folder):
+    import corpus_pipeline as cp
+    from tests.llm.corpus import JUNK
+
+    rng = np.random.default_rng(4)
+    plain, vile = [f"plain{k}" for k in range(60)], [f"vile{k}" for k in range(200)]
+    kinds = rng.choice(3, 2000, p=[0.76, 0.2, 0.04])
+    own = {0: lambda: rng.choice(plain, 20), 2: lambda: rng.choice(vile, 20, replace=False)}
+    rows = [(k, JUNK[k % 4] * 40 if kind == 1 else " ".join([*rng.choice(plain, 30), *own[kind]()])) for k, kind in enumerate(kinds)]
+    path = folder(rows, [(k, int(kind != 1), int(kind == 2)) for k, kind in enumerate(kinds)])
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in cp.STAGES[:4]:
+        if name != "n-gram Jaccard join":  # no two texts are similar here
+            docs = stage(spark, docs, path)
+            if name == "quality rules":
+                assert not any(kinds[r.doc_id] == 1 for r in docs.select("doc_id").collect())
+    copies = Counter(r.doc_id for r in docs.select("doc_id").collect())
+    clean, toxic = (np.mean([copies[k] for k in np.flatnonzero(kinds == kind)]) for kind in (0, 2))
+    assert toxic < 0.1 and clean > 0.9
+
+
 def test_mixing_without_labels_or_rows(spark, table):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     rows = corpus(1, 10)
