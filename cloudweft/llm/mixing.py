@@ -5,7 +5,12 @@ words, each counted once a document, predicts the posterior of each domain for e
 descent then fits a rate r >= 0 for each document so that the expected tokens of each domain, the sum of
 rate x tokens x posterior, match the targets in weighted least squares: the sum over domains of error ** 2 / share.
 A round reads one narrow table, sums one number for each domain, and moves each rate by r <- max(0, r - step * p.g); the
-three sums come to the driver, and the rates stay distributed.
+three sums come to the driver, and the rates stay distributed. After ``ROUNDS`` such rounds a last implicit step of
+length 1 / ``RIDGE``, whose g is the gradient after the step, solves the rest: its three numbers are the minimum of a
+convex function, found by Newton steps of one pass each, and the projected gradient ends at ``RIDGE`` times them.
+
+A domain without text to repeat (it would have to be repeated more than ``MOST_REPEATS`` times on average) has no error
+term: its target is not met, and a warning says so. Otherwise one document, hardly of that domain, would be all of the mixture.
 
 The classifier is fitted on a bounded sample of labelled rows: the ``LABELLED_ROWS`` with the smallest hash of doc_id.
 They come from ``known``, which a pipeline sets to all documents: those left by earlier stages lack whole domains.
@@ -19,8 +24,10 @@ rates equal; an empty table gives an empty result; all other columns are kept as
 from __future__ import annotations
 
 import json
+import logging
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,12 +41,18 @@ LABELLED_ROWS = 200_000
 BUCKETS = 1 << 18
 #: A word counts if for some domain its documents n differ from those expected, e, by (n - e) ** 2 / (e + 1) or more.
 LEAST_SURPRISE = 25.0
-#: Rounds end when all errors are within the tolerance, or when the squared error falls by less than this share in a round.
-ROUNDS = 40
+#: Plain rounds, which end early when all errors are within the tolerance; the implicit step follows.
+ROUNDS = 4
+#: The implicit step's weight of sum(tokens x (change of rate) ** 2); its passes at most, and the error of its equations.
+RIDGE = 1e-5
+PASSES = 100
+EXACT = 1e-8
+MOST_REPEATS = 1000
 #: Rows whose number of copies is not one are broadcast if there are at most so many, otherwise shuffled.
 BROADCAST_ROWS = 1_000_000
 TOLERANCE = 1e-4
-LEAST_GAIN = 0.01
+
+log = logging.getLogger(__name__)
 
 
 def words(text: Column) -> Column:
@@ -107,29 +120,86 @@ def rate(gradients: list[list[float]]) -> Column:
     return F.aggregate(steps, F.lit(SIZE), lambda r, g: F.greatest(F.lit(0.0), r - pull(g)))
 
 
-def fit(table: DataFrame, targets: dict[str, float], rounds: int = ROUNDS) -> tuple[list[list[float]], list[float]]:
-    """The gradients of all rounds, and what share of the tokens each domain has in the end."""
+def aims(table: DataFrame, targets: dict[str, float]) -> tuple[int, list[float], list[float], list[bool]]:
+    """All tokens; for each domain its share of them (a thousandth at least), the share it is to have, and whether it has
+    text for that."""
     n = range(len(DOMAINS))
     first = table.agg(F.sum("tokens").alias("t"), *(F.sum(F.col("tokens") * F.col(f"p{k}")).alias(f"s{k}") for k in n)).first()
-    if not first.t:
-        return [], [0.0 for _ in n]
-    share = [max(first[f"s{k}"] / first.t, 1e-3) for k in n]
+    total = first.t or 0
+    own = [first[f"s{k}"] / total if total else 0.0 for k in n]
     goal = [SIZE * targets.get(d, 0.0) / sum(targets.values()) for d in DOMAINS]
+    return total, [max(x, 1e-3) for x in own], goal, [goal[k] <= MOST_REPEATS * own[k] for k in n]
+
+
+def fit(table: DataFrame, targets: dict[str, float], rounds: int = ROUNDS) -> tuple[list[list[float]], list[float]]:
+    """The gradients of plain rounds, and what share of the tokens each domain has in the end."""
+    n = range(len(DOMAINS))
+    total, share, goal, has = aims(table, targets)
     gradients: list[list[float]] = []
-    got, cost = [0.0 for _ in n], math.inf
-    for _ in range(rounds):
+    got = [0.0 for _ in n]
+    if not total:
+        return gradients, got
+    for left in range(rounds, -1, -1):
         r = rate(gradients)
         sums = table.agg(*(F.sum(F.col("tokens") * r * F.col(f"p{k}")).alias(f"s{k}") for k in n)).first()
-        got = [sums[f"s{k}"] / first.t for k in n]
-        # With errors over shares the curvature is at most 1, so a step of 1 is safe.
-        gradient = [(got[k] - goal[k]) / share[k] for k in n]
-        before, cost = cost, sum((got[k] - goal[k]) ** 2 / share[k] for k in n)
-        if max(abs(got[k] - goal[k]) for k in n) < TOLERANCE or cost > (1 - LEAST_GAIN) * before:
+        got = [sums[f"s{k}"] / total for k in n]
+        if not left or max(abs(got[k] - goal[k]) for k in n) < TOLERANCE:
             break
-        gradients.append([round(g, 9) for g in gradient])
+        # With errors over shares the curvature is at most 1, so a step of 1 is safe.
+        gradients.append([round((got[k] - goal[k]) / share[k], 9) if has[k] else 0.0 for k in n])
     return gradients, got
 
 
+def solved(table: DataFrame, targets: dict[str, float]) -> tuple[list[list[float]], list[float], float]:
+    """The steps of ``fit`` and the implicit one, what share of the tokens each domain has then, and the largest error of
+    the equations that the last step solves.
+
+    With tokens t of T in all and rates r before it, the step v makes them r(v) = max(0, r - p.v), and is the minimum of
+    RIDGE / 2 x sum(share x v ** 2) + goal.v + sum(t x r(v) ** 2) / 2T, where RIDGE x v is the gradient at r(v)."""
+    steps, got = fit(table, targets)
+    total, share, goal, has = aims(table, targets)
+    if not total:
+        return steps, got, 0.0
+    n = [k for k in range(len(DOMAINS)) if has[k]]
+    pairs = [(a, b) for a in n for b in n if a <= b]
+    weight, aim = RIDGE * np.array([share[k] for k in n]), np.array([goal[k] for k in n])
+
+    def full(v: np.ndarray) -> list[float]:
+        out = [0.0 for _ in DOMAINS]
+        for k, x in zip(n, v):
+            out[k] = round(float(x), 9)
+        return out
+
+    def at(v: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, list[float]]:
+        moved = table.withColumn("r", rate([*steps, full(v)]))
+        t, active = F.col("tokens") / float(total), F.when(F.col("r") > 0, F.col("tokens") / float(total)).otherwise(0.0)
+        sums = moved.agg(F.sum(t * F.col("r") * F.col("r")).alias("q"), *(F.sum(t * F.col("r") * F.col(f"p{k}")).alias(f"s{k}") for k in range(len(DOMAINS))), *(F.sum(active * F.col(f"p{a}") * F.col(f"p{b}")).alias(f"h{a}{b}") for a, b in pairs)).first()
+        curve = np.diag(weight)
+        for a, b in pairs:
+            curve[n.index(a), n.index(b)] += sums[f"h{a}{b}"]
+            if a != b:
+                curve[n.index(b), n.index(a)] += sums[f"h{a}{b}"]
+        shares = [sums[f"s{k}"] for k in range(len(DOMAINS))]
+        return weight @ v**2 / 2 + aim @ v + sums.q / 2, weight * v + aim - [shares[k] for k in n], curve, shares
+
+    v = np.zeros(len(n))
+    value, slope, curve, got = at(v)
+    passes = 1
+    while n and abs(slope).max() > EXACT and passes < PASSES:
+        way, length = -np.linalg.solve(curve, slope), 1.0
+        while passes < PASSES:
+            tried = at(v + length * way)
+            passes += 1
+            if tried[0] <= value + 1e-4 * length * (slope @ way) or abs(tried[1]).max() <= EXACT:
+                v, (value, slope, curve, got) = v + length * way, tried
+                break
+            length /= 2
+    error = float(abs(slope).max()) if n else 0.0
+    report = ", ".join(f"{d} {got[k]:.6f} of {goal[k]:.6f}" for k, d in enumerate(DOMAINS))
+    log.log(logging.INFO if all(has) and error <= EXACT else logging.WARNING, "mixing: shares reached after %d passes, error %.1e: %s", passes, error, report)
+    return [*steps, full(v)], got, error
+
+
 def uniform(*by: Column) -> Column:
     return F.pmod(F.xxhash64(*by, F.lit("copies")), F.lit(1 << 20)) / float(1 << 20)
 
@@ -137,7 +207,7 @@ def uniform(*by: Column) -> Column:
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
     """(row, id, digest, tokens, p0, p1, p2, rate, copies): copies is the rate, rounded up or down by a hash of the doc_id."""
     table = posteriors(docs, labels, text_col, id_col, known)
-    gradients, _ = fit(table, targets or TARGETS)
+    gradients, _, _ = solved(table, targets or TARGETS)
     return table.withColumn("rate", rate(gradients)).withColumn("copies", F.floor(F.col("rate") + uniform(F.col("id"), F.col("tokens"))).cast("long"))
 
 

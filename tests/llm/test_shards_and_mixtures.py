@@ -105,6 +105,28 @@ def test_rates_match_gradient_descent_in_numpy(spark):
     assert all(abs(g - w) < 0.7 * abs(b - w) + 0.01 for g, w, b in zip(got, (0.5, 0.3, 0.2), share))
 
 
+def test_rates_are_solved_and_not_only_begun(spark):
+    rng = np.random.default_rng(5)
+    p, t = rng.dirichlet((2, 0.3, 0.5), 400), rng.integers(1, 50, 400)
+    make = lambda p: spark.createDataFrame([(k, int(a), *map(float, b)) for k, (a, b) in enumerate(zip(t, p))], "row long, tokens long, p0 double, p1 double, p2 double")
+    goal, share = np.array((0.96, 0.04, 0)), np.maximum(t @ p / t.sum(), 1e-3)
+    table = make(p)
+    steps, got, error = mixing.solved(table, mixing.TARGETS)
+    r = table.select(mixing.rate(steps).alias("r")).toPandas().r.to_numpy()
+    assert np.allclose((t * r) @ p / t.sum(), got, atol=1e-9) and error <= mixing.EXACT
+    slope = p @ ((np.array(got) - goal) / share)
+    assert abs(np.where(r > 0, slope, np.minimum(0, slope))).max() < 0.02
+    plain = np.ones(400)
+    for _ in range(3000):
+        plain = np.maximum(0, plain - p @ (((t * plain) @ p / t.sum() - goal) / share))
+    cost = lambda x: (((t * x) @ p / t.sum() - goal) ** 2 / share).sum()
+    assert cost(r) <= cost(plain) + 1e-6
+    # A domain without text is left out, and does not keep the others from their targets.
+    q = np.column_stack((p[:, 0] + p[:, 1], 1e-7 * p[:, 1], p[:, 2]))
+    steps, got, error = mixing.solved(make(q), mixing.TARGETS)
+    assert error <= mixing.EXACT and abs(got[0] - 0.96) < 1e-3 and got[1] < 1e-5 and got[2] < 0.01
+
+
 @pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_mixing_repeats_and_drops_rows(spark, table, monkeypatch, limit):
     monkeypatch.setattr(mixing, "BROADCAST_ROWS", limit)
