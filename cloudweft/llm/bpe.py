@@ -2,7 +2,7 @@
 
 Defined results: a null text counts as empty and has no ids; an empty text likewise; repeated rows give repeated
 results; an empty table gives an empty result; other columns, nulls in them too, are kept as they are, and those named
-as a column of the result are replaced by it.
+as a column of the result, in whatever case, are replaced by it. Very long texts are taken whole, piece by piece.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType
 
-from cloudweft.llm.common import small_batches
+from cloudweft.llm.common import column, in_pieces, others, schema_of
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Texts longer than this many characters are encoded piece by piece.
@@ -59,19 +60,17 @@ def encode_table(docs: DataFrame, rank_path: str | None = None, pattern: str = p
 
     ``rank_path`` must be readable on every worker; the ranks are a bounded model, not data.
     """
-    small_batches(docs.sparkSession)
     path = rank_path or public_tokenizers.path(RANK_FILE)
-    kept = [c for c in docs.columns if c not in (text_col, "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")]
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
-    out = [*fields, "n_tokens long"]
+    kept = others(docs, text_col, "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")
+    out = [("n_tokens", LongType())]
     if with_ids:
-        out += ["ids array<int>", "decoded binary"]
+        out += [("ids", ArrayType(IntegerType())), ("decoded", BinaryType())]
     if digests:
-        out += ["ids_sha256 string", "decoded_sha256 string"]
+        out += [("ids_sha256", StringType()), ("decoded_sha256", StringType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoding(path, pattern)
-        for batch in batches:
+        for batch in in_pieces(batches):
             counts, ids, raw, id_sums, raw_sums = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 tokens = encode(text or "", codec)
@@ -93,4 +92,4 @@ def encode_table(docs: DataFrame, rank_path: str | None = None, pattern: str = p
                 names += ["ids_sha256", "decoded_sha256"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select(text_col, *(f"`{c}`" for c in kept)).mapInArrow(run, ", ".join(out))
+    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema_of(docs, kept, *out))

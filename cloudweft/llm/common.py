@@ -2,17 +2,30 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
 import os
 import tempfile
-import time
+import threading
 import uuid
+from collections.abc import Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 #: The six ASCII white-space characters that separate words, as a Java character class and as bytes.
 SPACE_CLASS = r"\x20\x09-\x0D"
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
+#: Rows that an Arrow function takes at once.
+ROWS = 256
+#: While a table is written: Arrow batches of at most so many rows and bytes, so that very long texts fill neither a
+#: Python worker nor the buffers, and shuffle files that go with the job that made them.
+_WHILE_WRITING = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,11 +36,31 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of at most ``rows`` rows and 4 MB, so that very long texts fill neither a Python worker nor the buffers."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+def column(name: str) -> Column:
+    """The column of just that name, whatever characters it has."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def others(docs: DataFrame, *taken: str) -> list[str]:
+    """The columns of ``docs`` but those that Spark would not tell from ``taken`` ones, as it ignores case."""
+    low = {t.lower() for t in taken}
+    return [c for c in docs.columns if c.lower() not in low]
+
+
+def schema_of(docs: DataFrame, kept: list[str], *added: tuple[str, DataType]) -> StructType:
+    own = {f.name: f.dataType for f in docs.schema.fields}
+    return StructType([*(StructField(c, own[c]) for c in kept), *(StructField(name, kind) for name, kind in added)])
+
+
+def whole_row(docs: DataFrame) -> Column:
+    return F.struct(*(column(c) for c in docs.columns))
+
+
+def in_pieces(batches: Iterable[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, for which Python objects are made at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,43 +74,73 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-#: Paths of the tables that this driver has written, in order; None where one is gone.
-_TABLES: list[str | None] = []
+_lock = threading.Lock()
+_writers = 0
+_before: dict[str, str | None] = {}
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession) -> Iterator[None]:
+    """``_WHILE_WRITING``, and what the session had before once no thread writes any more."""
+    global _writers
+    with _lock:
+        if not _writers:
+            _before.update({k: spark.conf.get(k, None) for k in _WHILE_WRITING})
+            for k, v in _WHILE_WRITING.items():
+                spark.conf.set(k, v)
+        _writers += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            _writers -= 1
+            if not _writers:
+                for k, v in _before.items():
+                    spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+class _Tables(threading.local):
+    """Paths of the tables that a thread has written, in order; None where one is gone."""
+
+    def __init__(self) -> None:
+        self.paths: list[str | None] = []
+
+
+_own = _Tables()
+
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: the lineage ends there and survives lost executors."""
+    """``df`` as a Parquet table in the shared folder: the lineage ends there and survives lost executors. What is not
+    discarded goes when the driver ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cloudweft-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    _own.paths.append(path)
+    target, files = _place(spark, path)
+    files.deleteOnExit(target)
+    with _settings(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._cloudweft_path = path
-    _TABLES.append(path)
     return out
 
 
 def tables() -> int:
-    """A mark for ``discard``."""
-    return len(_TABLES)
+    """A mark for ``discard``: how many tables this thread has written."""
+    return len(_own.paths)
 
 
 def discard(spark: SparkSession, since: int, *keep: DataFrame) -> None:
-    """Deletes the tables written since the mark but those that are kept. Whatever is still to be computed may depend on
-    kept tables only."""
+    """Deletes the tables that this thread has written since the mark but those that are kept. Whatever is still to be
+    computed may depend on kept tables only."""
     kept = {getattr(df, "_cloudweft_path", None) for df in keep}
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    for k in range(since, len(_TABLES)):
-        if (path := _TABLES[k]) is not None and path not in kept:
-            target = hadoop.Path(path)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-            _TABLES[k] = None
-
-
-def release(spark: SparkSession) -> None:
-    """Lets go of the shuffle files of finished jobs now: Spark removes them once the driver's collector has seen that
-    nothing refers to them, which may otherwise be long after the next job has filled the disk. Twice, as the first time
-    may only free what Python still held."""
-    for _ in range(2):
-        gc.collect()
-        spark._jvm.System.gc()
-        time.sleep(0.2)
+    for k in range(since, len(_own.paths)):
+        if (path := _own.paths[k]) is not None and path not in kept:
+            target, files = _place(spark, path)
+            files.delete(target, True)
+            files.cancelDeleteOnExit(target)
+            _own.paths[k] = None

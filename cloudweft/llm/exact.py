@@ -9,7 +9,8 @@ joined back from there: a small table is broadcast, and otherwise both sides of
 keys adaptive execution can split.
 
 Defined results: a null text counts as empty, and all empty texts are equal; a null doc_id sorts after all others; of
-repeated rows exactly one stays; an empty table gives an empty result; other columns are kept as they are.
+repeated rows exactly one stays; of rows with equal texts, lengths and doc_ids, the one with the smallest hash of all its
+columns; very long texts are taken whole; an empty table gives an empty result; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudweft.llm.common import discard, tables, written
+from cloudweft.llm.common import column, discard, tables, whole_row, written
 
 PREFIX = 64
 #: Keys of the second refinement are broadcast if there are at most so many (16 bytes each), otherwise shuffled.
@@ -73,8 +74,8 @@ def groups(docs: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row of each group of equal texts, with all columns of ``docs``. The whole text is hashed only where length and
     prefix repeat; the other rows are not shuffled while the repeated keys are few enough to broadcast."""
-    normal = squeezed(F.col(text_col))
-    keyed = docs.select(F.struct("*").alias("doc"), F.length(normal).alias("n_normal"), prefix_hash(normal).alias("prefix"))
+    normal = squeezed(column(text_col))
+    keyed = docs.select(whole_row(docs).alias("doc"), F.length(normal).alias("n_normal"), prefix_hash(normal).alias("prefix"))
     keys = repeated_keys(docs.select(F.length(normal).alias("n_normal"), prefix_hash(normal).alias("prefix")))
     side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
     alone = keyed.join(side, ["n_normal", "prefix"], "left_anti").select("doc")

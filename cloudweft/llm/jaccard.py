@@ -3,15 +3,18 @@
 A document's set holds 64-bit hashes of its distinct word shingles. Two sets a, b link when 100 |a & b| >= PERCENT |a | b|,
 that is when their symmetric difference is at most (100 - PERCENT) (|a| + |b|) / (100 + PERCENT). Sizes fall into bands
 [l, 100 l / PERCENT], so that linked sets lie in the same band or in neighbouring ones; each set gives signatures for
-its own band and the next. In a band with at most k differing elements, the hashed domain is cut into n1 x n2 > k
-partitions, n1 of the first level with n2 = 2 of the second, of which the subsets of n2 - k2 = 1 are enumerated: one of
-them is equal in both sets. Of the partitions in a ring, some equal one is even followed by one that differs in at most
-one element. A partition with fewer than two elements would be equal in unlike sets; there the next partition, whole
-and without each one of its elements, joins the signature. So every link shares a signature.
-A band with ``MANY`` partitions or more needs only the first ``TAKEN`` of them, and none with fewer than two elements: k
-differing elements, dealt by hash over more than k partitions, leave each one equal with a probability of 0.36 at
-least, and of the equal ones 0.7 at least hold two elements or more. That these partitions all fail has a probability of
-at most 0.75 ** 96 = 1e-12, for a link just at the threshold; for closer texts far less. Smaller sets are not left to chance.
+its own band and, where it is large enough to have a partner there, for the next. In a band with at most k differing
+elements, the hashed domain is cut into more than k partitions, so that linked sets have equal ones; a partition that is
+equal in both gives them a signature.
+
+A partition with ``THIN`` elements or fewer would be equal in unlike sets as well. As ``SPARE`` of k + SPARE k + 2 partitions
+are more than differ, a set of s elements with d thin partitions has at least parts - k(s) equal partitions with each
+partner, and if d is less than that, some equal one is not thin: then only partitions that are not thin give
+signatures. Each set checks this for itself. Where it fails, which hardly happens to large sets, the second level of the
+enumeration follows: of the partitions in a ring, some equal one is even followed by one that differs in at most one
+element, so a thin partition signs together with the next one, whole and without each one of its elements. A link needs
+one of both: if either set passes its check, they share a signature of the first kind, and otherwise both sign the
+second kind as well. So every link shares a signature, whatever the sizes and whatever PERCENT.
 
 Equal sets are one node. Two nodes alone with a signature are a pair. Of more, each bucket compares its nodes with a centre,
 the node with most company in all its buckets, and then, where links so far leave several components in a bucket, the
@@ -21,7 +24,9 @@ nodes outside the centre's component with all nodes of other components. Pairs p
 A node is known by a 64-bit hash of its set: among 10 ** 9 different sets two are taken for one with a probability of 3 %.
 
 Defined results: null, empty and blank texts have an empty set and are linked with nothing; with fewer words than a
-shingle has, the whole sequence is one; repeated rows are linked; a null doc_id sorts after all others; an empty table gives an empty result.
+shingle has, the whole sequence is one; repeated rows are linked; a null doc_id sorts after all others, and of equal ids the
+first row comes first; very long texts are taken whole; an empty table gives an empty result; clashing names of other
+columns do not matter, as these travel in one struct.
 """
 
 from __future__ import annotations
@@ -34,9 +39,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql.types import LongType
 
-from cloudweft.llm.common import discard, release, small_batches, tables, written
+from cloudweft.llm.common import column, discard, in_pieces, schema_of, tables, whole_row, written
 from cloudweft.llm.graph import components
 
 SHINGLE = 5
@@ -46,10 +51,9 @@ WORDS = 8
 #: Keys that are broadcast at most; more are shuffled.
 BROADCAST_KEYS = 1_000_000
 
-#: From so many partitions of a band on, only full ones give signatures, and only the first ones so many.
-MANY, TAKEN = 96, 128
-#: Partitions of the signatures, in times of the session's number of shuffle partitions.
-SIGNATURE_PARTITIONS = 4
+#: Elements of a partition that gives no signature of its own, and the partitions beyond k for each differing element.
+THIN = 1
+SPARE = 0.25
 
 _U = np.uint64
 _ODD = np.array([pow(0xD1342543DE82EF95, k + 1, 1 << 64) | 1 for k in range(16)], dtype=np.uint64)
@@ -95,40 +99,45 @@ def bands(largest: int, percent: int) -> np.ndarray:
     return np.array(ends)
 
 
+def most_differing(a: int, b: int, percent: int) -> int:
+    """The most elements in which linked sets of these sizes differ."""
+    return (100 - percent) * (a + b) // (100 + percent)
+
+
 def partitions(upper: int, percent: int) -> int:
-    """n1 * n2 for a band that ends at ``upper``: more than the most elements in which linked sets there differ."""
-    k = 2 * upper * (100 - percent) // (100 + percent)
-    return 0 if k == 0 else 2 * (-(-(k + 1) // 2))
+    """Partitions in a band that ends at ``upper``: more than linked sets there can differ in; 0 if they must be equal."""
+    k = most_differing(upper, upper, percent)
+    return k + int(SPARE * k) + 2 if k else 0
 
 
 def signatures(own: np.ndarray, percent: int) -> np.ndarray:
     """All signatures of one set. In bands in which linked sets are equal there is none."""
-    ends = bands(max(1, -(-len(own) * 100 // percent)), percent)
-    band = int(np.searchsorted(ends, len(own)))
+    size = len(own)
+    largest = size * 100 // percent
+    ends = bands(max(1, largest), percent)
+    band = int(np.searchsorted(ends, size))
     each = mixed(own + _U(0x9E3779B97F4A7C15))
     sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(each, dtype=np.uint64)])
     found = []
-    for level in (band, band + 1):
-        upper = int(ends[level]) if level < len(ends) else int(bands(int(ends[-1]) + 1, percent)[level])
+    for level in range(band, len(ends)):
+        upper = int(ends[level])
         parts = partitions(upper, percent)
         if not parts:
             continue
         edges = (np.arange(1, parts, dtype=np.uint64) * _U((1 << 64) // parts)).astype(np.uint64)
-        at = np.concatenate([[0], np.searchsorted(own, edges), [len(own)]])
+        at = np.concatenate([[0], np.searchsorted(own, edges), [size]])
         value, count = sums[at[1:]] - sums[at[:-1]], np.diff(at)
         tag = mixed(np.arange(parts, dtype=np.uint64) + _U(level << 32))
-        full = count > 1
-        if parts >= MANY:
-            full[TAKEN:] = False
-            found.append(mixed(tag[full] ^ (value[full] * _ODD[2])))
-            continue
+        full = count > THIN
         found.append(mixed(tag[full] ^ (value[full] * _ODD[2])))
         thin = np.flatnonzero(~full)
+        if len(thin) < parts - most_differing(size, min(upper, largest), percent):
+            continue
         after = (thin + 1) % parts
         options = count[after] + 1  # the next partition as it is, and without each one of its elements
         which = np.repeat(np.arange(len(thin)), options)
         number = np.arange(len(which)) - np.repeat(np.cumsum(options) - options, options)
-        without = np.where(number > 0, each[np.minimum(at[after][which] + np.maximum(number - 1, 0), len(own) - 1)], _U(0))
+        without = np.where(number > 0, each[np.minimum(at[after][which] + np.maximum(number - 1, 0), size - 1)], _U(0))
         rest = value[after][which] - without
         found.append(mixed(tag[thin][which] ^ (value[thin][which] * _ODD[3]) ^ mixed(rest + _U(7))))
     return np.concatenate(found).view(np.int64) if found else np.empty(0, dtype=np.int64)
@@ -150,69 +159,60 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 def node_table(docs: DataFrame, n: int) -> DataFrame:
     """``docs`` is (row, id, text): (row, id, digest, node, n_shingles, s0..), digest being a hash of the text."""
-    small_batches(docs.sparkSession)
-    kind = docs.schema["id"].dataType.simpleString()
+    schema = schema_of(docs, ["row", "id"], *((c, LongType()) for c in ("digest", "node", "n_shingles", *(f"s{k}" for k in range(WORDS)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             sets = [shingles(text, n) for text in batch.column(3).to_pylist()]
             cells = np.stack([sketch(s) for s in sets]) if sets else np.empty((0, WORDS), dtype=np.int64)
             arrays = [*batch.columns[:3], pa.array([node_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(cells[:, k]) for k in range(WORDS))]
             yield pa.RecordBatch.from_arrays(arrays, names=["row", "id", "digest", "node", "n_shingles", *(f"s{k}" for k in range(WORDS))])
 
     rows = docs.select("row", "id", F.xxhash64("text").alias("digest"), "text")
-    return rows.mapInArrow(run, f"row long, id {kind}, digest long, node long, n_shingles long, " + ", ".join(f"s{k} long" for k in range(WORDS)))
+    return rows.mapInArrow(run, schema)
 
 
 def signature_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """(signature, node); a node once for each partition of the input."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for batch in batches:
-            for texts in (batch.column(0).slice(k, 200) for k in range(0, batch.num_rows, 200)):
-                nodes, found = [], []
-                for text in texts.to_pylist():
-                    own = shingles(text, n)
-                    node = node_of(own)
-                    if len(own) and node not in seen:
-                        seen.add(node)
-                        found.append(signatures(own, percent))
-                        nodes.append(np.full(len(found[-1]), node))
-                if nodes:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(nodes).astype(np.int64))], names=["signature", "node"])
+        for batch in in_pieces(batches, 200):
+            nodes, found = [], []
+            for text in batch.column(0).to_pylist():
+                own = shingles(text, n)
+                node = node_of(own)
+                if len(own) and node not in seen:
+                    seen.add(node)
+                    found.append(signatures(own, percent))
+                    nodes.append(np.full(len(found[-1]), node))
+            if nodes:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found)), pa.array(np.concatenate(nodes).astype(np.int64))], names=["signature", "node"])
 
     return docs.select("text").mapInArrow(run, "signature long, node long")
 
 
 def set_table(texts: DataFrame, n: int) -> DataFrame:
-    """(node, size, cells, elements) of (node, text): the long sketch, and the upper halves of the hashes in order."""
+    """(node, size, cells, elements) of (node, text): the long sketch, and the hashes in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             sets = [shingles(text, n) for text in batch.column(1).to_pylist()]
-            halves = [(x >> _U(32)).astype(np.uint32).tobytes() for x in sets]
-            arrays = [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(long_sketch, sets), pa.binary()), pa.array(halves, pa.binary())]
+            arrays = [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(long_sketch, sets), pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "cells", "elements"])
 
     return texts.select("node", "text").mapInArrow(run, "node long, size long, cells binary, elements binary")
 
 
 def shared_elements(x: bytes, y: bytes) -> int:
-    """How many elements two sets have in common, from the upper halves of their hashes. Equal halves of one set count as
-    often as they occur; of two elements in which the sets differ, one in 2 ** 32 pairs is taken for a common one."""
-    a, many = np.unique(np.frombuffer(x, dtype=np.uint32), return_counts=True)
-    b, more = np.unique(np.frombuffer(y, dtype=np.uint32), return_counts=True)
-    _, at, to = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    return int(np.minimum(many[at], more[to]).sum())
+    """How many elements two sets have in common."""
+    return len(np.intersect1d(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), assume_unique=True))
 
 
 def linked(pairs: DataFrame, single: DataFrame, docs: DataFrame, n: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) whose sets link. Long sketches, an eighth of what is compared in the end, leave hardly any other
     pairs. One document of each node is read again for it; the set of b travels to a, which is a centre with many pairs."""
     spark, mark = docs.sparkSession, tables()
-    small_batches(spark)
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     first = written(single.join(needed, "node", "left_semi").select("node", "side_id", "side_digest"), f"first-{name}")
     wanted = first.count()
@@ -228,38 +228,38 @@ def linked(pairs: DataFrame, single: DataFrame, docs: DataFrame, n: int, percent
         return some.select("a", "b", *(f"{c}_{end}" for c in columns for end in ("a", "b")))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             rows = zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True)
             keep = [least_difference(x, y) * (100 + percent) <= (100 - percent) * (a + b) for a, b, x, y in rows]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 shared = shared_elements(x, y)
-                keep.append(100 * shared >= percent * ((len(x) + len(y)) // 4 - shared))
+                keep.append(100 * shared >= percent * ((len(x) + len(y)) // 8 - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     close = written(both(pairs, "size", "cells").mapInArrow(near, "a long, b long"), f"close-{name}")
     found = written(both(close, "elements").mapInArrow(exact, "a long, b long"), f"linked-{name}")
     discard(spark, mark, found)
-    release(spark)
     return found
 
 
 def bucket_table(docs: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(a, b) of the signatures that just two nodes share, and (signature, node, n) of those that more share."""
-    own = Window.partitionBy("signature")
-    # Nearly all rows are alone with their signature and end here, so partitions are kept small for the sort.
-    parts = SIGNATURE_PARTITIONS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = signature_table(docs, n, percent).repartition(parts, "signature")
-    rows = rows.select("signature", "node", F.min("node").over(own).alias("low"), F.max("node").over(own).alias("high"), F.count("*").over(own).alias("n"))
-    two = F.col("n") == 2
-    shared = rows.where("low <> high").where(~two | (F.col("node") == F.col("low")))
-    shared = written(shared.select(F.when(~two, F.col("signature")).alias("signature"), "node", F.when(two, F.col("high")).alias("other"), "n"), "shared")
-    pairs = shared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b")).distinct()
-    return pairs, shared.where("other is null").groupBy("signature", "node").agg(F.max("n").alias("n"))
+    """(a, b) of the signatures that just two nodes share, and (signature, node, n) of those that more share. Signatures are
+    counted by partial aggregation, so a hot one meets as one row from each task; nearly all are alone and end there."""
+    mark = tables()
+    rows = written(signature_table(docs, n, percent), "signatures")
+    counted = rows.groupBy("signature").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n")).where("low <> high")
+    shared = written(counted, "shared")
+    pairs = written(shared.where("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).distinct(), "pairs")
+    more = shared.where("n > 2").select("signature", "n")
+    side = F.broadcast(more) if more.count() <= BROADCAST_KEYS else more
+    buckets = written(rows.join(side, "signature").groupBy("signature", "node").agg(F.max("n").alias("n")), "buckets")
+    discard(docs.sparkSession, mark, pairs, buckets)
+    return pairs, buckets
 
 
 def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -272,8 +272,6 @@ def classes(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT) -> DataFr
     some = [F.min_by("id", "row").alias("side_id"), F.min_by("digest", "row").alias("side_digest")]
     single = written(nodes.groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), *(F.first(s).alias(s) for s in parts), *some), "single")
     pairs, buckets = bucket_table(docs, n, percent)
-    release(docs.sparkSession)
-    pairs, buckets = written(pairs, "pairs"), written(buckets, "buckets")
     met = buckets.select("node").union(pairs.select("a")).union(pairs.select("b")).distinct()
     known = written(single.drop("side_id", "side_digest").join(met, "node", "left_semi"), "known")
 
@@ -327,12 +325,12 @@ def one_of_each(docs: DataFrame, n: int = SHINGLE, percent: int = PERCENT, text_
 
     Rows are told apart by id and a hash of the text, so they need no number; of rows equal in both, one stays.
     """
-    plain = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    plain = docs.select(F.monotonically_increasing_id().alias("row"), column(id_col).alias("id"), column(text_col).alias("text"))
     found = written(classes(plain, n, percent), "classes")
     stays = F.col("id").eqNullSafe(F.col("class_id")) & F.col("digest").eqNullSafe(F.col("class_digest"))
     gone = written(found.where(~stays).select("id", "digest").distinct(), "gone")
     again = written(found.where(stays).groupBy("id", "digest").agg(F.count("*").alias("n"), F.first("n_shingles").alias("n_shingles")).where("n > 1 and n_shingles > 0").select("id", "digest"), "again")
-    keyed = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(F.col(text_col)).alias("digest"), F.col(id_col).alias("id"))
+    keyed = docs.select(whole_row(docs).alias("doc"), F.xxhash64(column(text_col)).alias("digest"), column(id_col).alias("id"))
 
     def at(side: DataFrame, how: str) -> DataFrame:
         near = (F.broadcast(side) if side.count() <= BROADCAST_KEYS else side).withColumnsRenamed({"id": "side_id", "digest": "side_digest"})

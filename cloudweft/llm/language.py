@@ -7,7 +7,7 @@ broadcast. Scoring takes the matrix rows of a batch's n-grams at once.
 Defined results: a text that is null, empty or without a letter gives ``und`` with score 0; a language that is null is
 not learned from; with nothing to learn from every text gives ``und``; ties go to the language that sorts first;
 repeated rows give repeated results; very long texts are taken whole, in slices of ``SLICE`` characters; other columns
-are kept as they are, and those named as a column of the result are replaced by it.
+are kept as they are, and those named as a column of the result, in whatever case, are replaced by it.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
-from cloudweft.llm.common import small_batches
+from cloudweft.llm.common import column, in_pieces, others, schema_of
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -63,11 +64,10 @@ def has_letter(text: str | None) -> bool:
 
 def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, bucket, n) over all rows with a language and a text with letters."""
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in in_pieces(batches):
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if has_letter(text):
                     own = sums.setdefault(lang, np.zeros(BUCKETS, dtype=np.int64))
@@ -79,7 +79,7 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> D
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(own[at])], names=["lang", "bucket", "n"])
 
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(text_col, lang_col)
+    rows = docs.select(column(text_col).alias("text"), column(lang_col).alias("lang")).where("text is not null and lang is not null")
     return rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -97,14 +97,13 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tupl
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` but the text, then lang_pred and score, the posterior of that language."""
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "lang_pred string, score double"])
+    kept = others(docs, text_col, "lang_pred", "score")
+    schema = schema_of(docs, kept, ("lang_pred", StringType()), ("score", DoubleType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = shared.value
-        for batch in batches:
+        for batch in in_pieces(batches):
             texts = batch.column(0).to_pylist()
             totals = np.zeros((len(texts), max(1, len(names))))
             usable = [i for i, text in enumerate(texts) if names and has_letter(text)]
@@ -120,4 +119,4 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
             score = [float(posterior[i]) if i in known else 0.0 for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(kept))), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"])
 
-    return docs.select(text_col, *(f"`{c}`" for c in kept)).mapInArrow(run, schema)
+    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)

@@ -4,11 +4,11 @@ Words are runs of ASCII letters and digits, lower-cased, and of bytes beyond ASC
 of L + L // 2 words begin every max(1, L // 2) words, so that any L words in a row lie in one window. A window that holds
 ``CONTAINMENT`` of a template's shingles has a Jaccard similarity with it of at least ``least_similarity``; the rows of a
 band are the most for which ``BANDS`` bands miss such a window with a probability of at most ``MISS``. A minimum that a
-window shares with a template is the hash of a shingle that both hold, so only windows with a shingle of some template
-need bands. A retrieved template matches where the window's shingles contain at least ``CONTAINMENT`` of its own.
+window shares with a template is the hash of a shingle that both hold, so bands can retrieve nothing for a window without
+a shingle of some template: such windows are left out before their bands are computed, which changes no result. A retrieved template matches where the window's shingles contain at least ``CONTAINMENT`` of its own.
 
 Defined results: null, empty and short texts have no licence; repeated rows get equal results; an empty table gives an
-empty result; other columns are kept as they are, a column ``matches`` is replaced; long texts are taken whole. Matches of one template that overlap are one span.
+empty result; other columns are kept as they are, a column ``matches``, in whatever case, is replaced; long texts are taken whole. Matches of one template that overlap are one span.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from cloudweft.llm.common import small_batches
+from cloudweft.llm.common import column, in_pieces, others, schema_of
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -152,16 +153,16 @@ def merged(spans: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT, text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` but the text, then matches: an array of (license, start, end, containment), in words."""
-    small_batches(docs.sparkSession)
     texts = dict(templates or TEMPLATES)
-    kept = [c for c in docs.columns if c not in (text_col, "matches")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "matches array<struct<license:string,start:bigint,end:bigint,containment:double>>"])
+    kept = others(docs, text_col, "matches")
+    match = StructType([StructField("license", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("containment", DoubleType())])
+    schema = schema_of(docs, kept, ("matches", ArrayType(match)))
     kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(texts, containment)
-        for batch in batches:
+        for batch in in_pieces(batches):
             found = [[dict(zip(("license", "start", "end", "containment"), m, strict=True)) for m in index.scan(text)] for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(kept))), pa.array(found, kind)], names=[*kept, "matches"])
 
-    return docs.select(text_col, *(f"`{c}`" for c in kept)).mapInArrow(run, schema)
+    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)

@@ -6,8 +6,8 @@ good ones, runs over at most 3 ** rules weighted patterns however many documents
 the posterior probability of good is at least ``THRESHOLD``.
 
 Defined results: a null or empty text has no words, so it fails the base rule; an empty table gives an empty result;
-repeated rows get equal results; columns of the input are kept as they are, and those of the result that clash with
-them replace them. Texts are taken whole.
+repeated rows get equal results, as do rows with equal votes, so there are no ties to break; columns of the input are kept
+as they are, and those of the result that clash with them, in whatever case, replace them. Texts of any length are taken whole.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from cloudweft.llm.common import SPACE_BYTES, small_batches
+from cloudweft.llm.common import SPACE_BYTES, column, discard, in_pieces, others, schema_of, tables, whole_row, written
 
 WINDOW = 8
 THRESHOLD = 0.5
@@ -157,19 +158,18 @@ def fit(patterns: dict[int, int]) -> Model:
 
 def signal_table(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns of ``docs`` (all but the text by default), then the signals and the pattern of votes."""
-    small_batches(docs.sparkSession)
-    taken = {*SIGNALS, "n_shouts", "pattern", text_col}
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in taken]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), *(f"{c} long" for c in SIGNALS), "n_shouts long, pattern int"])
+    taken = (*SIGNALS, "n_shouts", "pattern", text_col)
+    kept = [c for c in others(docs, *taken) if keep is None or c in keep]
+    schema = schema_of(docs, kept, *((c, LongType()) for c in (*SIGNALS, "n_shouts")), ("pattern", IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_pieces(batches):
             found = [signals(text) for text in batch.column(0).to_pylist()]
             columns = zip(*found, strict=True) if found else [()] * (len(SIGNALS) + 1)
             arrays = [*(batch.column(i + 1) for i in range(len(kept))), *(pa.array(c, pa.int64()) for c in columns), pa.array([pattern(votes(s)) for s in found], pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *SIGNALS, "n_shouts", "pattern"])
 
-    return docs.select(text_col, *(f"`{c}`" for c in kept)).mapInArrow(run, schema)
+    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)
 
 
 def fit_table(table: DataFrame) -> Model:
@@ -192,23 +192,27 @@ def judged(table: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
             at = batch.schema.get_field_index("pattern")
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values.value[batch.column(at).to_numpy()])], names=[*batch.schema.names, "quality"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema.fields if f.name != "quality"), "quality double"])
-    return table.drop("quality").mapInArrow(run, schema).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
+    rest = table.select(*map(column, others(table, "quality", "base_failed", "kept")))
+    schema = schema_of(rest, rest.columns, ("quality", DoubleType()))
+    return rest.mapInArrow(run, schema).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns. Votes are counted first, then each row is judged."""
-    spark = docs.sparkSession
-    model = fit_table(signal_table(docs, text_col, []))
-    values = spark.sparkContext.broadcast(model.posterior(list(range(3 ** len(RULES)))))
+    """The rows of ``docs`` that are kept, with all their columns. Each text's votes are taken once and written beside its
+    row; the patterns that the model accepts, of those that occur, then choose the rows."""
+    spark, mark = docs.sparkSession, tables()
+    schema = StructType([StructField("doc", StructType(docs.schema.fields)), StructField("pattern", IntegerType()), StructField("failed", BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for text in batch.column(batch.schema.get_field_index(text_col)).to_pylist():
-                s = signals(text)
-                failed = s[0] < 20 or 100 * s[4] > 30 * s[0]
-                keep.append(not failed and bool(values.value[pattern(votes(s))] >= threshold))
-            yield batch.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+        for batch in in_pieces(batches):
+            found = [signals(text) for text in batch.column(0).to_pylist()]
+            arrays = [batch.column(1), pa.array([pattern(votes(s)) for s in found], pa.int32()), pa.array([s[0] < 20 or 100 * s[4] > 30 * s[0] for s in found], pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "pattern", "failed"])
+
+    table = written(docs.select(column(text_col).alias("text"), whole_row(docs).alias("doc")).mapInArrow(run, schema), "votes")
+    counted = {r.pattern: r.n for r in table.groupBy("pattern").agg(F.count("*").alias("n")).collect()}  # at most 3 ** rules
+    codes = sorted(counted)
+    good = [c for c, p in zip(codes, fit(counted).posterior(codes), strict=True) if p >= threshold]
+    discard(spark, mark, table)
+    side = F.broadcast(spark.createDataFrame([(c,) for c in good], "pattern int"))
+    return table.where("not failed").join(side, "pattern", "left_semi").select("doc.*")

@@ -12,7 +12,8 @@ With ``slack`` 0 shards take N // shards rows, and the first N % shards of them
 
 Defined results: a null text has no bytes and the checksum of the empty text; a null doc_id is a key as any other;
 repeated rows are told apart by their place in the input and fill shards one by one; an empty table gives an empty
-result; other columns are not read.
+result; other columns are not read. Only the length and checksum of a text are taken, however long it is. Where hashes tie,
+the place in the input decides.
 """
 
 from __future__ import annotations

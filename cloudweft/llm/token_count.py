@@ -1,13 +1,15 @@
 """Token counts by a map-side two-tier lookup.
 
-Tier one is a broadcast table of pre-token lengths, those that are frequent in a bounded sample of rows. Tier two is a bounded cache in each worker, filled by the library. The
-tables only save work: each length comes from the library, so the counts do not depend on the sample. Pre-tokens are
-never shuffled.
+Tier one is a broadcast table of pre-token lengths. Each partition of the whole corpus counts its words between blanks in
+a table of bounded size, which sheds its rarest half when full; the most frequent ``PART_WORDS`` of each are added up,
+and the pre-tokens of the ``FREQUENT`` first ones are encoded once. Tier two is a bounded cache in each worker, filled by
+the library. The tables only save work: each length comes from the library, so the counts do not depend on them.
+Pre-tokens are never shuffled.
 
 Defined results: a null text counts as empty, with no bytes and no tokens; repeated rows give repeated results; an
-empty table gives an empty result; other columns are kept as they are, and those named as a column of the result are
-replaced by it. Special strings inside a text
-are taken as special tokens, which is the library's default; texts that hold one go through the library as a whole.
+empty table gives an empty result; other columns are kept as they are, and those named as a column of the result, in
+whatever case, are replaced by it; very long texts are taken whole, piece by piece. Special strings inside a text are taken as
+special tokens, which is the library's default; texts that hold one go through the library as a whole.
 """
 
 from __future__ import annotations
@@ -22,16 +24,18 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType
 from tokenizers import Tokenizer
 
-from cloudweft.llm.common import small_batches
+from cloudweft.llm.common import column, in_pieces, others, schema_of
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
-#: Rows whose pre-tokens are looked at to fill tier one, the longest text among them, entries that tier one takes from
-#: them, and entries of a worker's cache.
-SAMPLE_ROWS = 2000
-SAMPLE_CHARS = 8192
+#: Words that a partition counts at once and those that it hands on, the longest of them, words that tier one is made of,
+#: and entries of a worker's cache.
+PART_COUNTS = 200_000
+PART_WORDS = 4096
+WORD_CHARS = 32
 FREQUENT = 30_000
 CACHE_ENTRIES = 400_000
 #: Characters of a text that are split at once.
@@ -70,29 +74,43 @@ def lengths(parts: list[str], path: str) -> list[int]:
     return [len(x.ids) for x in tokenizer(path).encode_batch(parts, add_special_tokens=False)]
 
 
-def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", rows: int = SAMPLE_ROWS, entries: int = FREQUENT) -> dict[str, int]:
-    """Tier one, of at most ``entries`` strings of at most 32 characters, from at most ``rows`` texts of bounded length."""
-    seen: Counter[str] = Counter()
-    for row in docs.select(F.col(text_col).alias("text")).where(F.length("text") <= SAMPLE_CHARS).limit(rows).collect():
-        seen.update(x for x in pre_tokens(row.text) if len(x) <= 32)
-    frequent = sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:entries]
-    parts = [x for x, _ in frequent if not any(s in x for s in specials(path))]
+def frequent_words(docs: DataFrame, text_col: str = "text", entries: int = FREQUENT) -> list[str]:
+    """The most frequent words between blanks, from counts over all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for batch in in_pieces(batches):
+            for text in batch.column(0).to_pylist():
+                seen.update((text or "").split(" "))
+                if len(seen) > PART_COUNTS:
+                    seen = Counter(dict(seen.most_common(PART_COUNTS // 2)))
+        top = [(w, n) for w, n in seen.most_common(PART_WORDS) if len(w) <= WORD_CHARS]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
+
+    parts = docs.select(column(text_col).alias("text")).mapInArrow(run, "word string, n long")
+    counted = parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(entries)
+    return [r.word for r in counted.collect()]
+
+
+def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", entries: int = FREQUENT) -> dict[str, int]:
+    """Tier one: the pre-tokens of frequent words, each with a blank before it, and their lengths."""
+    words = frequent_words(docs, text_col, entries)
+    parts = sorted({x for w in words for x in _PRE_TOKEN.findall(f" {w}") if not any(s in x for s in specials(path))})
     return dict(zip(parts, lengths(parts, path), strict=True))
 
 
-def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text", limit: int = TOKEN_LIMIT, rows: int = SAMPLE_ROWS) -> DataFrame:
+def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text", limit: int = TOKEN_LIMIT, entries: int = FREQUENT) -> DataFrame:
     """All columns of ``docs`` but the text, then n_bytes, n_tokens, over_limit."""
     spark = docs.sparkSession
-    small_batches(spark)
     path = path or public_tokenizers.path(TOKENIZER_FILE)
-    table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col, rows))
-    kept = [c for c in docs.columns if c not in (text_col, "n_bytes", "n_tokens", "over_limit")]
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), "n_bytes long, n_tokens long, over_limit boolean"])
+    table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col, entries))
+    kept = others(docs, text_col, "n_bytes", "n_tokens", "over_limit")
+    schema = schema_of(docs, kept, ("n_bytes", LongType()), ("n_tokens", LongType()), ("over_limit", BooleanType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = dict(table.value)
         base, special = len(known), specials(path)
-        for batch in batches:
+        for batch in in_pieces(batches):
             if len(known) > base + CACHE_ENTRIES:
                 known = dict(table.value)
             sizes, counts = [], []
@@ -110,4 +128,4 @@ def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text
             arrays = [*(batch.column(i + 1) for i in range(len(kept))), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "n_bytes", "n_tokens", "over_limit"])
 
-    return docs.select(text_col, *(f"`{c}`" for c in kept)).mapInArrow(run, schema)
+    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)
