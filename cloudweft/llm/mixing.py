@@ -18,7 +18,9 @@ Its table of words has at most ``BUCKETS`` rows. Everything else covers all rows
 
 Defined results: a null or empty text has no tokens, the prior as its posterior, and a rate as any other document; rows
 of a repeated or null doc_id are rows of their own; without labelled rows of at least two domains, all posteriors are the prior and all
-rates equal; an empty table gives an empty result; all other columns are kept as they are.
+rates equal; an empty table gives an empty result; all other columns are kept as they are. Texts of any length are taken
+whole. Domains that are equally likely share a document, so there are no ties to break; a labelled doc_id with several
+labels has the highest domain.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cloudweft.llm.common import SPACE_CLASS, discard, tables, written
+from cloudweft.llm.common import SPACE_CLASS, column, discard, tables, whole_row, written
 
 DOMAINS = ("clean", "low", "toxic")
 #: Shares of the tokens that the mixture is to have, and its size as a share of the tokens there are.
@@ -39,8 +41,9 @@ TARGETS = {"clean": 0.96, "low": 0.04, "toxic": 0.0}
 SIZE = 1.0
 LABELLED_ROWS = 200_000
 BUCKETS = 1 << 18
-#: A word counts if for some domain its documents n differ from those expected, e, by (n - e) ** 2 / (e + 1) or more.
-LEAST_SURPRISE = 25.0
+#: A word's evidence on a domain counts by half if its documents n there and those expected, e, have (n - e) ** 2 / (e + 1)
+#: equal to this, more if they differ more, and hardly if they agree.
+HALF = 9.0
 #: Plain rounds, which end early when all errors are within the tolerance; the implicit step follows.
 ROUNDS = 4
 #: The implicit step's weight of sum(tokens x (change of rate) ** 2); its passes at most, and the error of its equations.
@@ -76,7 +79,7 @@ def sample(labels: DataFrame) -> DataFrame:
 def classifier(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str) -> tuple[DataFrame, list[float]]:
     """(bucket, w0, w1, w2): what a word adds to each domain's logarithm; and the logarithms of the priors."""
     chosen = written(sample(labels), "labelled")
-    rows = docs.select(F.col(id_col).alias("labelled"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "labelled")
+    rows = docs.select(column(id_col).alias("labelled"), column(text_col).alias("text")).join(F.broadcast(chosen), "labelled")
     own = rows.select("domain", F.explode(F.array_union(F.array(F.lit("")), words(F.col("text")))).alias("word"))  # the empty word counts documents
     counted = written(own.groupBy(F.when(F.col("word") == "", -1).otherwise(bucket(F.col("word"))).alias("bucket"), "domain").agg(F.count("*").alias("n")), "words")
     sizes = {r.domain: r.n for r in counted.where("bucket = -1").collect()}
@@ -84,12 +87,13 @@ def classifier(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str) -
     prior = [math.log((sizes.get(k, 0) + 1) / (total + len(DOMAINS))) for k in range(len(DOMAINS))]
     by = [F.coalesce(F.sum(F.when(F.col("domain") == k, F.col("n"))), F.lit(0)) for k in range(len(DOMAINS))]
     table = counted.where("bucket >= 0").groupBy("bucket").agg(*(x.alias(f"n{k}") for k, x in enumerate(by)))
-    rate = [(F.col(f"n{k}") + 1.0) / (sizes.get(k, 0) + 2.0 * len(DOMAINS)) for k in range(len(DOMAINS))]
-    weights = [F.log(x) - F.log(sum(rate[1:], rate[0])) for x in rate]
     seen = sum((F.col(f"n{k}") for k in range(1, len(DOMAINS))), F.col("n0"))
-    expected = [seen * (sizes.get(k, 0) / max(1, total)) for k in range(len(DOMAINS))]
-    surprise = F.greatest(*((F.col(f"n{k}") - e) ** 2 / (e + 1.0) for k, e in enumerate(expected)))
-    return table.where(surprise >= LEAST_SURPRISE).select("bucket", *(w.alias(f"w{k}") for k, w in enumerate(weights))), prior
+    weights = []
+    for k in range(len(DOMAINS)):
+        n, e = F.col(f"n{k}"), seen * (sizes.get(k, 0) / max(1, total))
+        surprise = (n - e) ** 2 / (e + 1.0)
+        weights.append(F.log((n + 1.0) / (e + 1.0)) * surprise / (surprise + HALF))
+    return table.select("bucket", *(w.alias(f"w{k}") for k, w in enumerate(weights))), prior
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
@@ -98,8 +102,8 @@ def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_co
     mark = tables()
     table, prior = classifier(docs if known is None else known, labels, text_col, id_col)
     table = written(table, "classifier")
-    own = words(F.col(text_col))
-    each = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(text_col).alias("digest"), own.alias("words")).select("id", "row", "digest", F.size("words").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
+    own = words(column(text_col))
+    each = docs.select(column(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(column(text_col)).alias("digest"), own.alias("words")).select("id", "row", "digest", F.size("words").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
     joined = each.withColumn("bucket", bucket(F.coalesce("word", F.lit("")))).join(F.broadcast(table), "bucket", "left")
     sums = joined.groupBy("row", "id", "digest", "tokens").agg(*(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(DOMAINS))))
     logs = [F.col(f"s{k}") + prior[k] for k in range(len(DOMAINS))]
@@ -214,12 +218,14 @@ def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None =
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, text_col: str = "text", id_col: str = "doc_id", known: DataFrame | None = None) -> DataFrame:
     """Each row of ``docs`` as often as its rate says, with all its columns. Rates depend on id and text only, so these
     and not row numbers lead back to the rows. ``known`` has the labelled rows to learn from, where ``docs`` lost some."""
-    pair = (F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    pair = (column(id_col).alias("doc_id"), column(text_col).alias("text"))
     mark = tables()
-    copies = written(mixed(docs.select(*pair), labels, targets, known=None if known is None else known.select(*pair)).where("copies <> 1").select(F.col("id").alias("side_id"), F.col("digest").alias("side_digest"), F.col("copies").cast("int").alias("copies")).distinct(), "copies")
+    fitted = mixed(docs.select(*pair), labels, targets, known=None if known is None else known.select(*pair))
+    # Repeated rows may differ in the last bit of their rates: one number of copies holds for all of them.
+    copies = written(fitted.groupBy(F.col("id").alias("side_id"), F.col("digest").alias("side_digest")).agg(F.max("copies").cast("int").alias("copies")).where("copies <> 1"), "copies")
     discard(docs.sparkSession, mark, copies)
     side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    keyed = docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), F.xxhash64(F.col(text_col)).alias("digest"), F.col(id_col).alias("id"))
+    keyed = docs.select(whole_row(docs).alias("doc"), F.xxhash64(column(text_col)).alias("digest"), column(id_col).alias("id"))
     out = keyed.join(side, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")), "left")
     times = F.coalesce("copies", F.lit(1))
     return out.where(times > 0).select("doc", F.explode(F.sequence(F.lit(1), times)).alias("copy")).select("doc.*")
