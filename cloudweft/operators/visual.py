@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from pathlib import Path
 from typing import Any
@@ -21,8 +22,9 @@ LEAST_INLIERS = 20
 INLIER_METRES = 0.20
 HYPOTHESES = 2500
 SEED = 0
-#: Rows of the descriptor distance matrix that are held at once.
+#: Rows of the descriptor distance matrix that are held at once, and neighbours beyond two whose distances are taken again.
 BLOCK = 2048
+SPARE_NEAR = 6
 
 
 @dataclass(frozen=True)
@@ -99,30 +101,64 @@ def register_keyframes(fixed: Path, moving: Path, fixed_features: Features | Non
     return seeded(project(there, moving_matrix), project(here, fixed_matrix), len(matches), least, threshold)
 
 
-def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, blocks: int = 8, skip_same: bool = False) -> DataFrame:
+def seed_table(sides: DataFrame, least: int = LEAST_INLIERS, threshold: float = INLIER_METRES) -> DataFrame:
+    """(fixed, moving, yaw, tx, ty, tz, matches, inliers, rmse) of the pairs that have a seed. ``sides`` holds the features of
+    both scans of each pair: fixed, moving, is_fixed, feat_id, descriptor, and x, y, z, projected, null without a depth.
+
+    A pair is a group, so all pairs are matched at once; keyframes bound the features of a scan.
+    """
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("feat_id")
+        here, there = pdf[pdf["is_fixed"]], pdf[~pdf["is_fixed"]]
+        rows = []
+        if len(here) and len(there):
+            found = np.array(ratio_matches(np.stack(there["descriptor"]), np.stack(here["descriptor"])), dtype=int).reshape(-1, 2)
+            source, target = (side[["x", "y", "z"]].to_numpy(dtype=float)[found[:, k]] for k, side in enumerate((there, here)))
+            known = np.isfinite(source).all(axis=1) & np.isfinite(target).all(axis=1)
+            if (seed := seeded(source[known], target[known], len(found), least, threshold)) is not None:
+                m = seed.motion
+                rows = [(int(pdf["fixed"].iloc[0]), int(pdf["moving"].iloc[0]), m.yaw, m.tx, m.ty, m.tz, seed.matches, seed.inliers, seed.rmse)]
+        return pd.DataFrame(rows, columns=["fixed", "moving", "yaw", "tx", "ty", "tz", "matches", "inliers", "rmse"])
+
+    schema = "fixed int, moving int, yaw double, tx double, ty double, tz double, matches int, inliers int, rmse double"
+    columns = ("fixed", "moving", "is_fixed", "feat_id", "descriptor", "x", "y", "z")
+    return sides.select(*columns).groupBy("fixed", "moving").applyInPandas(one, schema)
+
+
+def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, blocks: int | None = None, skip_same: bool = False) -> DataFrame:
     """(qid, tid, d1, d2) of the nearest and second nearest target of each (qid, descriptor) among (tid, descriptor).
 
-    Both sides are dealt into blocks; each pair of blocks meets in one worker, which keeps the two nearest of its block
-    for each query, so neither side is ever whole in one place. Exact; ties go to the lowest tid. With a ratio, only
-    matches that pass its test are kept; ``skip_same`` leaves out a target with the query's own id.
+    Both sides are dealt into blocks of about ``BLOCK`` rows; each pair of blocks meets in one worker as one product of
+    matrices, which keeps the two nearest of its block for each query, so neither side is ever whole in one place. Exact,
+    so it costs the product of both sides; ties go to the lowest tid. With a ratio, only matches that pass its test are
+    kept; ``skip_same`` leaves out a target with the query's own id.
     """
-    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = queries.select("qid", "descriptor", block("qid").alias("qb"), every.alias("tb"))
-    right = targets.select("tid", "descriptor", block("tid").alias("tb"), every.alias("qb"))
+    n_q, n_t = (blocks, blocks) if blocks else (max(1, -(-side.count() // BLOCK)) for side in (queries, targets))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = queries.select("qid", "descriptor", block("qid", n_q).alias("qb"), every(n_t).alias("tb"))
+    right = targets.select("tid", "descriptor", block("tid", n_t).alias("tb"), every(n_q).alias("qb"))
 
     def two(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(q) and len(t):
-            t = t.sort_values("tid")
-            ids, here = t["tid"].to_numpy(), np.stack(t["descriptor"]).astype(float)
-            for qid, d in zip(q["qid"], q["descriptor"], strict=True):
-                apart = np.sqrt(((here - np.asarray(d, dtype=float)) ** 2).sum(axis=1))
-                if skip_same:
-                    apart[ids == qid] = np.inf
-                best = np.argsort(apart, kind="stable")[:2]
-                rows += [(qid, ids[k], apart[k]) for k in best if np.isfinite(apart[k])]
-        return pd.DataFrame(rows, columns=["qid", "tid", "d"])
+        if not len(q) or not len(t):
+            return pd.DataFrame({"qid": [], "tid": [], "d": []})
+        t = t.sort_values("tid")
+        ids, own = t["tid"].to_numpy(), q["qid"].to_numpy()
+        here, there = (np.stack(side["descriptor"]).astype(float) for side in (q, t))
+        squared = np.maximum((here**2).sum(axis=1)[:, None] + (there**2).sum(axis=1)[None] - 2 * here @ there.T, 0)
+        if skip_same:
+            squared[own[:, None] == ids[None]] = np.inf
+        near = np.argsort(squared, axis=1, kind="stable")[:, : 2 + SPARE_NEAR]  # a few more, as products round
+        who = np.repeat(np.arange(len(here)), near.shape[1])
+        target = near.ravel()
+        apart = np.sqrt(((here[who] - there[target]) ** 2).sum(axis=1))
+        if skip_same:
+            apart[own[who] == ids[target]] = np.inf
+        order = np.lexsort((target, apart, who))
+        place = np.arange(len(order)) % near.shape[1]
+        taken = order[(place < 2) & np.isfinite(apart[order])]
+        return pd.DataFrame({"qid": own[who[taken]], "tid": ids[target[taken]], "d": apart[taken]})
 
     kinds = f"qid {queries.schema['qid'].dataType.simpleString()}, tid {targets.schema['tid'].dataType.simpleString()}, d double"
     near = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInPandas(two, kinds)
@@ -142,15 +178,15 @@ def lifted(features: DataFrame, frames: DataFrame, grids: DataFrame) -> DataFram
     return at.select("source_id", "feat_id", x.alias("x"), y.alias("y"), z.alias("z"))
 
 
-def inlier_counts(matches: DataFrame, hypotheses: DataFrame, threshold: float = INLIER_METRES) -> DataFrame:
-    """(hypothesis, inliers): how many matches (x, y, z, fx, fy, fz) each motion (hypothesis, yaw, tx, ty, tz) explains.
+def inlier_counts(matches: DataFrame, hypotheses: DataFrame, threshold: float = INLIER_METRES, by: Sequence[str] = ()) -> DataFrame:
+    """(``by``, hypothesis, inliers): how many matches (x, y, z, fx, fy, fz) each motion (hypothesis, yaw, tx, ty, tz) explains.
 
     Hypotheses are a fixed number of rows and are broadcast; matches stay where they are.
     """
     m = F.broadcast(hypotheses)
     c, s = F.cos("yaw"), F.sin("yaw")
     dx, dy, dz = c * F.col("x") - s * F.col("y") + F.col("tx") - F.col("fx"), s * F.col("x") + c * F.col("y") + F.col("ty") - F.col("fy"), F.col("z") + F.col("tz") - F.col("fz")
-    return matches.crossJoin(m).groupBy("hypothesis").agg(F.sum((F.sqrt(dx * dx + dy * dy + dz * dz) <= threshold).cast("long")).alias("inliers"))
+    return matches.crossJoin(m).groupBy(*by, "hypothesis").agg(F.sum((F.sqrt(dx * dx + dy * dy + dz * dz) <= threshold).cast("long")).alias("inliers"))
 
 
 def best_hypothesis(counts: DataFrame) -> DataFrame:

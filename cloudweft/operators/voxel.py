@@ -11,6 +11,7 @@ from cloudweft.functions.geometry import cell, finite
 
 Size = float | tuple[float, float, float]
 _CELLS = ("__kx", "__ky", "__kz")
+ORD_BITS = 39
 
 
 def _sizes(size: Size) -> tuple[float, float, float]:
@@ -50,9 +51,11 @@ def rank(confidence: Column, mode: str = "highest") -> Column:
 def deduplicate(points: DataFrame, size: float, mode: str = "highest", axes: Sequence[str] = ("x", "y", "z")) -> DataFrame:
     """One point for each output cell over all scans, by confidence, then source_id, then ord; a size of 0 or less keeps all.
 
-    The three are packed into one long integer: 8 bits of rank, 16 of source_id, 39 of ord.
+    The three are packed into one long integer: 8 bits of rank, 16 of source_id, 39 of ord; an ord beyond these is an error.
     """
     if size <= 0:
         return points
-    packed = F.shiftleft(rank(F.col("confidence"), mode).cast("long"), 55) + F.shiftleft(F.col("source_id").cast("long"), 39) + F.col("ord")
+    fits = F.col("ord") < F.lit(1 << ORD_BITS)
+    points = points.withColumn("ord", F.when(fits, F.col("ord")).otherwise(F.raise_error(F.lit(f"ord has more than {ORD_BITS} bits")).cast("long")))
+    packed = F.shiftleft(rank(F.col("confidence"), mode).cast("long"), ORD_BITS + 16) + F.shiftleft(F.col("source_id").cast("long"), ORD_BITS) + F.col("ord")
     return chosen(points, size, [packed], axes=axes)

@@ -17,7 +17,8 @@ from cloudweft.functions import text as t
 from cloudweft.functions.rigid import Rigid
 from cloudweft.operators import nearest as nn
 from cloudweft.operators import pairs, pose_graph, visual, voxel
-from cloudweft.operators.icp import align
+from cloudweft.plans import registration
+from cloudweft.scratch import written
 from cloudweft.streaming import consumer
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,45 +115,71 @@ def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.candidate_pairs(pairs.bounds(tiles), 5.0)
 
 
-@query("WITH e AS (SELECT i AS fixed, i + 1 AS moving FROM range(0, 40) AS r(i) WHERE i <> 20) "
-       "SELECT CAST(i AS BIGINT) AS node, i <= 20 AS reached FROM range(0, 41) AS r(i)")
+#: Tiles in two rows that do not meet: the later ones lie further off.
+_APART = _TILES.replace("l_partkey % 97 * 40 +", "l_partkey % 97 * 40 + CASE WHEN l_partkey % 97 >= 60 THEN 30 ELSE 0 END +")
+
+
+@query(f"""WITH RECURSIVE t AS (SELECT {_APART} FROM lineitem), b AS (
+  SELECT source_id, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM t GROUP BY source_id),
+e AS (SELECT a.source_id AS fixed, b.source_id AS moving FROM b AS a JOIN b ON a.source_id <> b.source_id
+ AND a.lx - 5 <= b.hx AND b.lx - 5 <= a.hx AND a.ly - 5 <= b.hy AND b.ly - 5 <= a.hy),
+r(node) AS (SELECT 0 UNION SELECT e.moving FROM r JOIN e ON e.fixed = r.node)
+SELECT source_id AS node, source_id IN (SELECT node FROM r) AS reached FROM b""")
 def reachable_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = [pose_graph.Edge(k, k + 1, Rigid(0.01, 1.0, 0.0, 0.0), 20, 0.1, 0.5) for k in range(40) if k != 20]
-    at = pose_graph.poses(41, edges)
-    return spark.createDataFrame([(k, p is not None) for k, p in enumerate(at)], "node long, reached boolean")
+    """Which scans the candidate pairs connect to the first one."""
+    boxes = pairs.bounds(table(spark, sf_dir, "lineitem").selectExpr(*_APART.split(", ")))
+    found = pairs.candidate_pairs(boxes, 5.0).collect()  # at most a row for each pair of scans
+    scans = sorted(r.source_id for r in boxes.select("source_id").collect())
+    edges = [pose_graph.Edge(r.fixed, r.moving, Rigid(0.01, 1.0, 0.0, 0.0), 20, 0.1, 0.5) for r in found]
+    at = pose_graph.poses(max(scans) + 1, edges)
+    return spark.createDataFrame([(k, at[k] is not None) for k in scans], "node int, reached boolean")
 
 
-#: Points of two scans, known by the four whole numbers of their line; all of scan 0 against all of scan 1.
+#: Points that are the first of their voxel of one metre, known by the four whole numbers of their line, and all pairs of
+#: scans whose bounds meet: each point of the moving scan is looked for in the fixed one.
 _ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
-_NN = f"""{PTS}, moving AS (SELECT {_ID} AS id, x, y, z FROM pts WHERE source_id = 0),
-fixed AS (SELECT {_ID} AS fid, x AS fx, y AS fy, z AS fz FROM pts WHERE source_id = 1),
-near AS (SELECT id, x, y, z, fid, fx, fy, fz, sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy) + (z - fz) * (z - fz)) AS distance
-  FROM moving JOIN fixed ON y > fy - 1 AND y < fy + 1 WHERE abs(x - fx) < 1 AND abs(z - fz) < 1),
-best AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, fid) AS place FROM near WHERE distance < 1),
-matched AS (SELECT id, fid, distance, x, y, z, fx, fy, fz FROM best WHERE place = 1),
-kept AS (SELECT * FROM matched WHERE distance <= (SELECT quantile_cont(distance, 0.8) FROM matched))"""
+_NN = f"""{PTS}, few AS (SELECT source_id, {_ID} AS id, x, y, z FROM (
+  SELECT *, row_number() OVER (PARTITION BY source_id, floor(x), floor(y), floor(z) ORDER BY {_ORDER_SQL}) AS place FROM pts) WHERE place = 1),
+box AS (SELECT source_id, min(x) AS lx, max(x) AS hx, min(y) AS ly, max(y) AS hy FROM few GROUP BY source_id),
+pair AS (SELECT a.source_id AS fixed, b.source_id AS moving FROM box AS a JOIN box AS b ON a.source_id < b.source_id AND a.lx <= b.hx AND b.lx <= a.hx AND a.ly <= b.hy AND b.ly <= a.hy),
+moved AS (SELECT fixed, moving, id, x, y, z, unnest([floor(y) - 1, floor(y), floor(y) + 1]) AS cy, floor(x) AS cx FROM few JOIN pair ON source_id = moving),
+still AS (SELECT source_id AS fixed, id AS fid, x AS fx, y AS fy, z AS fz, floor(y) AS cy, unnest([floor(x) - 1, floor(x), floor(x) + 1]) AS cx FROM few),
+near AS (SELECT fixed, moving, id, x, y, z, fid, fx, fy, fz, sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy) + (z - fz) * (z - fz)) AS distance
+  FROM moved JOIN still USING (fixed, cx, cy) WHERE abs(z - fz) < 1),
+best AS (SELECT *, row_number() OVER (PARTITION BY fixed, moving, id ORDER BY distance, fid) AS place FROM near WHERE distance < 1),
+matched AS (SELECT fixed, moving, id, fid, distance, x, y, z, fx, fy, fz FROM best WHERE place = 1),
+cut AS (SELECT fixed, moving, quantile_cont(distance, 0.8) AS cut FROM matched GROUP BY ALL),
+kept AS (SELECT matched.* FROM matched JOIN cut USING (fixed, moving) WHERE distance <= cut)"""
+_PAIR = ("fixed", "moving")
+
+
+def _few(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = voxel.downsample(points(spark, sf_dir).drop("colour", "confidence"), 1.0, ORDER)
+    return first.select("source_id", F.expr(_ID).alias("id"), "x", "y", "z")
 
 
 def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = points(spark, sf_dir).select("source_id", F.expr(_ID).alias("id"), "x", "y", "z")
-    return nn.nearest(every.where("source_id = 0"), every.where("source_id = 1"), 1.0)
+    few = written(_few(spark, sf_dir), "few")
+    both = F.broadcast(pairs.candidate_pairs(pairs.bounds(few)))  # six pairs of four scans
+    sides = [few.join(both, F.col("source_id") == F.col(side)).drop("source_id") for side in ("moving", "fixed")]
+    return nn.nearest(*sides, 1.0, _PAIR)
 
 
-@query(f"WITH {_NN} SELECT id, fid, round(distance, 9) AS distance FROM matched")
+@query(f"WITH {_NN} SELECT fixed, moving, id, fid, round(distance, 9) AS distance FROM matched")
 def nn_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _matches(spark, sf_dir).select("id", "fid", *rounded("distance", digits=9))
+    return _matches(spark, sf_dir).select(*_PAIR, "id", "fid", *rounded("distance", digits=9))
 
 
-@query(f"WITH {_NN} SELECT count(*) AS n, round(sqrt(avg(distance * distance)), 9) AS rmse FROM kept")
+@query(f"WITH {_NN} SELECT fixed, moving, count(*) AS n, round(sqrt(avg(distance * distance)), 9) AS rmse FROM kept GROUP BY ALL")
 def trimmed_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nn.trimmed(_matches(spark, sf_dir)).agg(F.count("*").alias("n"), F.round(nn.rmse(), 9).alias("rmse"))
+    return nn.trimmed(_matches(spark, sf_dir), by=_PAIR).groupBy(*_PAIR).agg(F.count("*").alias("n"), F.round(nn.rmse(), 9).alias("rmse"))
 
 
-@query(f"""WITH {_NN}, f AS (SELECT atan2(covar_pop(x, fy) - covar_pop(y, fx), covar_pop(x, fx) + covar_pop(y, fy)) AS yaw,
-  avg(x) AS mx, avg(y) AS my, avg(z) AS mz, avg(fx) AS ax, avg(fy) AS ay, avg(fz) AS az, count(*) AS n FROM kept)
-SELECT round(yaw, 9) AS yaw, round(ax - (cos(yaw) * mx - sin(yaw) * my), 7) AS tx, round(ay - (sin(yaw) * mx + cos(yaw) * my), 7) AS ty, round(az - mz, 7) AS tz, n FROM f""")
+@query(f"""WITH {_NN}, f AS (SELECT fixed, moving, atan2(covar_pop(x, fy) - covar_pop(y, fx), covar_pop(x, fx) + covar_pop(y, fy)) AS yaw,
+  avg(x) AS mx, avg(y) AS my, avg(z) AS mz, avg(fx) AS ax, avg(fy) AS ay, avg(fz) AS az, count(*) AS n FROM kept GROUP BY fixed, moving)
+SELECT fixed, moving, round(yaw, 9) AS yaw, round(ax - (cos(yaw) * mx - sin(yaw) * my), 7) AS tx, round(ay - (sin(yaw) * mx + cos(yaw) * my), 7) AS ty, round(az - mz, 7) AS tz, n FROM f""")
 def yaw_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nn.yaw_fit(nn.trimmed(_matches(spark, sf_dir))).select(*rounded("yaw", digits=9), *rounded("tx", "ty", "tz", digits=7), "n")
+    return nn.yaw_fit(nn.trimmed(_matches(spark, sf_dir), by=_PAIR), _PAIR).select(*_PAIR, *rounded("yaw", digits=9), *rounded("tx", "ty", "tz", digits=7), "n")
 
 
 @query("""WITH q AS (SELECT vec_id AS qid, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id % 100 = 0),
@@ -170,23 +197,25 @@ _MOTIONS = [(0, 0.0, 0.0, 0.0, 0.0), (1, 0.0, 0.3, -0.2, 0.0), (2, 0.01, 0.1, 0.
 
 
 @query(f"""WITH {_NN}, h(hypothesis, yaw, tx, ty, tz) AS (VALUES {", ".join(map(str, _MOTIONS))})
-SELECT hypothesis, count(*) FILTER (WHERE sqrt(pow(cos(yaw) * x - sin(yaw) * y + tx - fx, 2) + pow(sin(yaw) * x + cos(yaw) * y + ty - fy, 2) + pow(z + tz - fz, 2)) <= 1.0) AS inliers
-FROM matched CROSS JOIN h GROUP BY hypothesis""")
+SELECT fixed, moving, hypothesis, count(*) FILTER (WHERE sqrt(pow(cos(yaw) * x - sin(yaw) * y + tx - fx, 2) + pow(sin(yaw) * x + cos(yaw) * y + ty - fy, 2) + pow(z + tz - fz, 2)) <= 1.0) AS inliers
+FROM matched CROSS JOIN h GROUP BY fixed, moving, hypothesis""")
 def ransac_inliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     hypotheses = spark.createDataFrame(_MOTIONS, "hypothesis int, yaw double, tx double, ty double, tz double")
-    return visual.inlier_counts(_matches(spark, sf_dir), hypotheses, 1.0)
+    return visual.inlier_counts(_matches(spark, sf_dir), hypotheses, 1.0, _PAIR)
 
 
-@query(f"""WITH {PTS}, e AS (SELECT source_id, l_suppkey % 10 AS other, count(*) / 10000 AS overlap, avg(z) / 100 AS rmse FROM pts GROUP BY 1, 2),
-s AS (SELECT source_id, other, overlap / greatest(rmse, 0.001) AS score FROM e)
-SELECT source_id, other, round(score, 6) AS score, row_number() OVER (PARTITION BY source_id ORDER BY round(score, 9) DESC, other) AS place FROM s""")
+@query(f"""WITH {_NN}, size AS (SELECT source_id AS moving, count(*) AS size FROM few GROUP BY source_id),
+e AS (SELECT fixed, moving, count(*) / any_value(size) AS overlap, sqrt(avg(distance * distance)) AS rmse FROM matched JOIN size USING (moving) GROUP BY fixed, moving),
+s AS (SELECT fixed, moving, round(overlap / greatest(rmse, 0.001), 6) AS score FROM e)
+SELECT fixed, moving, score, row_number() OVER (ORDER BY score DESC, fixed, moving) AS place FROM s""")
 def quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of scans in the order in which the pose graph takes them, by overlap and error of their nearest neighbours."""
     from pyspark.sql import Window
 
-    edges = points(spark, sf_dir).groupBy("source_id", (F.col("l_suppkey") % 10).alias("other")).agg((F.count("*") / 10000).alias("overlap"), (F.avg("z") / 100).alias("rmse"))
-    scored = edges.withColumn("score", g.quality_score(F.col("overlap"), F.col("rmse")))
-    place = F.row_number().over(Window.partitionBy("source_id").orderBy(F.round("score", 9).desc(), "other"))
-    return scored.select("source_id", "other", F.round("score", 6).alias("score"), place.cast("long").alias("place"))
+    sizes = _few(spark, sf_dir).groupBy(F.col("source_id").alias("moving")).agg(F.count("*").alias("size"))
+    edges = _matches(spark, sf_dir).groupBy(*_PAIR).agg(F.count("*").alias("n"), nn.rmse().alias("rmse")).join(F.broadcast(sizes), "moving")  # a row for each scan
+    scored = edges.select(*_PAIR, F.round(g.quality_score(F.col("n") / F.col("size"), F.col("rmse")), 6).alias("score"))
+    return scored.withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), *_PAIR)).cast("long"))  # a row for each pair
 
 
 _LOOPS = [(1, 0.01, 0.5, 0.2, 0.1), (2, -0.08, 0.1, 0.1, 0.0), (3, 0.0, 3.0, 4.0, 0.2), (4, 0.02, 0.6, 0.8, -1.0), (5, 0.0, 0.0, 0.0, -1.5)]
@@ -295,7 +324,9 @@ def depth_unproject(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select("o_orderkey", F.round(x, 9).alias("x"), F.round(y, 9).alias("y"), F.round(z, 8).alias("z"))
 
 
-@query()
+@query(f"""WITH {PTS}, b AS (SELECT source_id AS "sourceId", round(min(x), 6) AS "lowX", round(max(x), 6) AS "highX", round(min(y), 6) AS "lowY",
+  round(max(y), 6) AS "highY", round(min(z), 6) AS "lowZ", round(max(z), 6) AS "highZ" FROM pts GROUP BY source_id)
+SELECT CAST(to_json({{'formatVersion': 1, 'scans': list(b ORDER BY b."sourceId")}}) AS VARCHAR) AS report FROM b""")
 def report_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One JSON document of scans and their bounds, in the order of source_id."""
     boxes = pairs.bounds(points(spark, sf_dir))
@@ -303,26 +334,26 @@ def report_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return boxes.agg(F.to_json(F.struct(F.lit(1).alias("formatVersion"), F.sort_array(F.collect_list(scan)).alias("scans"))).alias("report"))
 
 
-@query()
-def icp_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A cloud moved by a known motion, aligned back: the motion that was found, in each pair's worker."""
-    import numpy as np
-    import pandas as pd
-
-    true = Rigid(0.004, 0.12, -0.08, 0.05)
-    cloud = voxel.downsample(points(spark, sf_dir), 2.0, ORDER, ()).select("x", "y", "z")
+#: The motion that a copy of the cloud is given, and that alignment has to find again.
+_TRUE = Rigid(0.004, 0.12, -0.08, 0.05)
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        xyz = pdf[["x", "y", "z"]].to_numpy()
-        xyz = xyz[np.lexsort(xyz.T)]
-        found = align(true.apply(xyz), xyz, 1.0)
-        row = (np.nan,) * 4 if found is None else (found.motion.yaw, found.motion.tx, found.motion.ty, found.motion.tz)
-        return pd.DataFrame([tuple(round(float(v), 4) for v in row) + (len(xyz),)], columns=["yaw", "tx", "ty", "tz", "n"])
 
-    return cloud.groupBy(F.lit(0).alias("pair")).applyInPandas(one, "yaw double, tx double, ty double, tz double, n long")
-
-
-@query()
+@query(f"""WITH {PTS}, few AS (SELECT count(*) AS n FROM (SELECT DISTINCT floor(x / 2), floor(y / 2), floor(z / 2) FROM pts))
+SELECT {_TRUE.yaw} AS yaw, {_TRUE.tx} AS tx, {_TRUE.ty} AS ty, {_TRUE.tz} AS tz, n, 1.0::DOUBLE AS overlap FROM few""")
+def icp_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cloud and its copy moved by a known motion, as two scans of a pair that are aligned: the motion that was found."""
+    cloud = written(voxel.downsample(points(spark, sf_dir), 2.0, ORDER, ()).select(F.xxhash64(*ORDER).alias("id"), "x", "y", "z"), "cloud")
+    x, y, z = g.moved(F.col("x"), F.col("y"), F.col("z"), *(F.lit(v) for v in (_TRUE.yaw, _TRUE.tx, _TRUE.ty, _TRUE.tz)))
+    there = cloud.select(F.lit(0).alias("source_id"), "id", x.alias("x"), y.alias("y"), z.alias("z"))
+    n = cloud.count()
+    found = registration.aligned(there.unionByName(cloud.withColumn("source_id", F.lit(1))), [(0, 1)], {(0, 1): 1.0}, {}, {0: n, 1: n})
+    rows = [(*(round(v, 4) + 0.0 for v in (m.yaw, m.tx, m.ty, m.tz)), matched, round(overlap, 6)) for m, matched, _, overlap in found.values()]
+    return spark.createDataFrame(rows, "yaw double, tx double, ty double, tz double, n long, overlap double")
+
+
+@query("""WITH RECURSIVE p(scan, yaw, tx, ty) AS (SELECT 0, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  UNION ALL SELECT scan + 1, yaw + 0.1, tx + 5 * cos(yaw) - 0.5 * sin(yaw), ty + 5 * sin(yaw) + 0.5 * cos(yaw) FROM p WHERE scan < 4)
+SELECT scan, round(yaw, 6) AS yaw, round(tx, 6) AS tx, round(ty, 6) AS ty, 0.0::DOUBLE AS tz, 5 AS n_edges, '[[1, 3]]' AS rejected FROM p""")
 def pose_graph_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A loop of five scans with one contradictory edge: which edges stay, and the poses."""
     steps = [Rigid(0.1, 5.0, 0.5, 0.0)] * 4
@@ -331,7 +362,7 @@ def pose_graph_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges += [pose_graph.Edge(0, 4, closing, 100, 0.05, 0.3), pose_graph.Edge(1, 3, Rigid(0.9, 1.0, 1.0, 0.0), 50, 0.05, 0.2)]
     taken, refused = pose_graph.consistent(5, edges)
     found = pose_graph.optimised(5, taken)
-    rows = [(k, round(p.yaw, 6), round(p.tx, 6), round(p.ty, 6), round(p.tz, 6), len(taken), json.dumps([r.edge.key for r in refused])) for k, p in enumerate(found)]
+    rows = [(k, *(round(v, 6) + 0.0 for v in (p.yaw, p.tx, p.ty, p.tz)), len(taken), json.dumps([r.edge.key for r in refused])) for k, p in enumerate(found)]
     return spark.createDataFrame(rows, "scan int, yaw double, tx double, ty double, tz double, n_edges int, rejected string")
 
 

@@ -1,14 +1,15 @@
 """Uncompressed LAS 1.4 clouds, point format 7, with confidence, source_id and scan_time as extra dimensions.
 
-One file has one writer: partitions encode their points, and the driver appends their bytes in order, holding one
-partition at a time. The compressed form needs a codec that is not part of this library.
+Points are dealt into ranges of ord, counted, and each range is encoded and written at its place in the file by the task
+that has it, so no point passes through the driver, nothing is sorted as a whole, and a task that runs again writes the
+same bytes. The folder of the file must be one that all executors see, as that of the packages. The compressed form
+needs a codec that is not part of this library.
 """
 
 from __future__ import annotations
 
 import os
 import struct
-from collections.abc import Iterator
 from contextlib import ExitStack
 from pathlib import Path
 
@@ -16,13 +17,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 #: Layout of a LAS 1.4 point record of format 7 with the three extra dimensions.
 SCALE = 0.001
 RECORD = np.dtype([("X", "<i4"), ("Y", "<i4"), ("Z", "<i4"), ("intensity", "<u2"), ("returns", "u1"), ("flags", "u1"), ("classification", "u1"), ("user_data", "u1"), ("scan_angle", "<i2"), ("point_source_id", "<u2"), ("gps_time", "<f8"), ("red", "<u2"), ("green", "<u2"), ("blue", "<u2"), ("confidence", "u1"), ("source_id", "<u2"), ("scan_time", "<f8")])
 HEADER_BYTES, VLR_BYTES, EXTRA_BYTES = 375, 54, 192
 EXTRA_TYPES = (("confidence", 1), ("source_id", 3), ("scan_time", 10))
-ENCODE_ROWS = 50_000
+#: Bits of ord within a range: a task holds at most so many points of one scan at once.
+RANGE_BITS = 20
 
 
 def utm_wkt(epsg: int) -> str:
@@ -88,28 +91,42 @@ def write_clouds(points: DataFrame, outputs: dict[int | None, Path], epsg: int,
         if max(r[f"high_{a}"] - r[f"low_{a}"] for a in "xyz") / SCALE >= 2**31:
             raise ValueError("a cloud is too wide for millimetres in 32 bits")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for start in range(0, len(pdf), ENCODE_ROWS):
-                part = pdf.iloc[start : start + ENCODE_ROWS]
-                for k, own in [(None, part)] if whole else list(part.groupby("source_id")):
-                    yield pd.DataFrame({"k": pd.array([k], dtype="Int32"), "n": [len(own)], "body": [encode(own, offsets[k])]})
-
-    ordered = points.orderBy("source_id", "ord").mapInPandas(run, "k int, n long, body binary")
-    counts: dict[int | None, int] = dict.fromkeys(outputs, 0)
+    temps = {k: temporary(p) for k, p in outputs.items()}
+    begins = {}
     with ExitStack() as stack:
-        temps = {k: temporary(p) for k, p in outputs.items()}
         stack.callback(lambda: [t.unlink(missing_ok=True) for t in temps.values()])
-        files = {}
         for k, t in temps.items():
             r = facts.get(k)
-            files[k] = stack.enter_context(t.open("wb"))
-            files[k].write(header(r.n if r else 0, offsets[k], tuple(r[f"high_{a}"] for a in "xyz") if r else (0.0, 0.0, 0.0), text))
-        for row in ordered.toLocalIterator():
-            files[row.k].write(row.body)
-            counts[row.k] += row.n
-        for f in files.values():
-            f.close()
+            head = header(r.n if r else 0, offsets[k], tuple(r[f"high_{a}"] for a in "xyz") if r else (0.0, 0.0, 0.0), text)
+            begins[k] = len(head)
+            with t.open("wb") as f:
+                f.write(head)
+                f.truncate(len(head) + (r.n if r else 0) * RECORD.itemsize)
+        names = {k: str(t.absolute()) for k, t in temps.items()}
+
+        def put(points: pd.DataFrame, places: pd.DataFrame) -> pd.DataFrame:
+            k = None if whole else int(places["source"].iloc[0])
+            own = points.sort_values("ord")
+            handle = os.open(names[k], os.O_WRONLY)
+            try:
+                raw, at = memoryview(encode(own, offsets[k])), begins[k] + int(places["start"].iloc[0]) * RECORD.itemsize
+                while raw:
+                    done = os.pwrite(handle, raw, at)
+                    raw, at = raw[done:], at + done
+                os.fsync(handle)
+            finally:
+                os.close(handle)
+            return pd.DataFrame({"k": pd.array([k], dtype="Int32"), "n": [len(own)]})
+
+        ranged = points.withColumn("part", F.shiftright("ord", RANGE_BITS))
+        before = Window.partitionBy(*([] if whole else ["source_id"])).orderBy("source_id", "part").rowsBetween(Window.unboundedPreceding, -1)
+        places = ranged.groupBy("source_id", "part").agg(F.count("*").alias("n")).select(F.col("source_id").alias("source"), F.col("part").alias("range"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))  # a row for each range
+        both = ranged.groupBy("source_id", "part").cogroup(places.groupBy("source", "range"))
+        counts: dict[int | None, int] = dict.fromkeys(outputs, 0)
+        for r in both.applyInPandas(put, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+            counts[r.k] = r.n
+        if any(counts[k] != (facts[k].n if k in facts else 0) for k in outputs):
+            raise RuntimeError("the points changed while they were written")
         for k, t in temps.items():
             os.replace(t, outputs[k])
     return counts

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cloudweft.errors import ScanPackageError
 from cloudweft.schema import CHUNK_NAME, DEFAULT_VOXEL_METRES, MAXIMUM_POINTS, MAXIMUM_SCANS, RECORD, SCANS, SUFFIX
+from cloudweft.sources.remote import Remote, is_uri
 
 
 @dataclass(frozen=True)
@@ -68,7 +69,7 @@ def georeference(value: dict[str, Any]) -> GeoReference:
 
 @dataclass(frozen=True)
 class ScanPackage:
-    path: Path
+    path: Path | Remote
     key: str
     point_count: int
     chunk_count: int
@@ -76,9 +77,19 @@ class ScanPackage:
     geo: GeoReference | None
     manifest: dict[str, Any]
 
-    def chunks(self) -> list[Path]:
+    def chunks(self) -> list[Path | Remote]:
         return [self.path / CHUNK_NAME.format(k + 1) for k in range(self.chunk_count)]
 
+    def chunk_sizes(self) -> list[int | None]:
+        """Bytes of each chunk, None where it is missing. The folder is listed once."""
+        found = self.path.sizes() if isinstance(self.path, Remote) else {p.name: p.stat().st_size for p in self.path.iterdir() if p.is_file()}
+        return [found.get(chunk.name) for chunk in self.chunks()]
+
+
+def located(path: str | Path | Remote) -> Path | Remote:
+    """A path of this machine, or a URI, which Spark's file systems read."""
+    return Remote(str(path)) if isinstance(path, Remote) or is_uri(path) else Path(path)
+
 
 def _whole(manifest: dict[str, Any], name: str) -> int:
     value = manifest[name]
@@ -87,9 +98,9 @@ def _whole(manifest: dict[str, Any], name: str) -> int:
     return int(float(value))
 
 
-def open_package(path: str | Path, *, maximum_points: int = MAXIMUM_POINTS) -> ScanPackage:
+def open_package(path: str | Path | Remote, *, maximum_points: int = MAXIMUM_POINTS) -> ScanPackage:
     """Reads and checks a manifest and the sizes of its chunks; reads no points."""
-    package = Path(path)
+    package = located(path)
     file = package / "manifest.json"
     if not file.is_file():
         raise ScanPackageError(f"no scan package: {package}")
@@ -114,10 +125,10 @@ def open_package(path: str | Path, *, maximum_points: int = MAXIMUM_POINTS) -> S
 
 def _check_chunks(package: ScanPackage) -> None:
     total = 0
-    for chunk in package.chunks():
-        if not chunk.is_file():
+    for chunk, size in zip(package.chunks(), package.chunk_sizes(), strict=True):
+        if size is None:
             raise ScanPackageError(f"chunk is missing: {chunk}")
-        whole, rest = divmod(chunk.stat().st_size, RECORD.itemsize)
+        whole, rest = divmod(size, RECORD.itemsize)
         if rest:
             raise ScanPackageError(f"chunk does not hold whole records of {RECORD.itemsize} bytes: {chunk}")
         total += whole
@@ -125,21 +136,22 @@ def _check_chunks(package: ScanPackage) -> None:
         raise ScanPackageError(f"{package.path}: {package.point_count} points announced, {total} found")
 
 
-def discover(inputs: Iterable[str | Path]) -> list[Path]:
+def discover(inputs: Iterable[str | Path | Remote]) -> list[Path | Remote]:
     """Packages named or lying directly in a named folder, each once, in the order of their resolved paths."""
-    found: set[Path] = set()
-    for item in map(Path, inputs):
-        if item.suffix == SUFFIX:
+    found: set[Path | Remote] = set()
+    for item in map(located, inputs):
+        if item.name.endswith(SUFFIX):
             found.add(item.resolve())
         elif item.is_dir():
-            found.update(p.resolve() for p in item.iterdir() if p.name.endswith(SUFFIX))
+            names = item.sizes() if isinstance(item, Remote) else [p.name for p in item.iterdir()]
+            found.update((item / name).resolve() for name in names if name.endswith(SUFFIX))
         else:
             raise ScanPackageError(f"neither a folder nor a scan package: {item}")
     if not found:
         raise ScanPackageError("no scan packages")
     if len(found) > MAXIMUM_SCANS:
         raise ScanPackageError(f"more than {MAXIMUM_SCANS} scan packages")
-    return sorted(found)
+    return sorted(found, key=str)
 
 
 def scans(spark: SparkSession, packages: list[ScanPackage]) -> DataFrame:

@@ -122,11 +122,12 @@ def start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoin
 
 
 def supervise(begin: Callable[[], StreamingQuery], idle_s: float = IDLE_S, run_s: float = RUN_S, failures: Failures | None = None, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep, look_s: float = 1.0) -> str:
-    """Runs a stream until it has been idle or has run long enough; restarts it after errors, with backoff, up to the limit."""
+    """Runs a stream until it has been idle or has run long enough; restarts it after errors, with backoff, up to the limit.
+    Before it stops as idle, it waits for one more poll that brings nothing."""
     tracker = failures or Failures()
     began = worked = clock()
     while True:
-        query, batch = begin(), -1
+        query, batch, confirming = begin(), -1, None
         try:
             while query.isActive:
                 sleep(look_s)
@@ -138,7 +139,11 @@ def supervise(begin: Callable[[], StreamingQuery], idle_s: float = IDLE_S, run_s
                         tracker.succeeded("processing")
                 if clock() - began > run_s:
                     return "runtime"
-                if clock() - worked >= idle_s and not query.status["isTriggerActive"]:
+                if clock() - worked < idle_s:
+                    confirming = None
+                elif confirming is None:
+                    confirming = seen["timestamp"] if seen else ""
+                elif seen and seen["timestamp"] != confirming and not query.status["isTriggerActive"]:
                     return "idle"
             if query.exception() is None:
                 return "signal"

@@ -48,14 +48,23 @@ class FolderQueue:
         for file in list(self.leased.iterdir()):
             ends, _, name = file.name.partition("~")
             if int(ends) <= now:
-                os.replace(file, self.pending / name)
+                self._moved(file, self.pending / name)
         out = []
-        for file in sorted(f for f in self.pending.iterdir() if not f.name.startswith("."))[:batch]:
+        for file in sorted(f for f in self.pending.iterdir() if not f.name.startswith(".")):
             lease = f"{now + visibility_ms}~{file.name}"
-            os.replace(file, self.leased / lease)
-            out.append(Message((self.leased / lease).read_text(encoding="utf-8"), lease))
+            if len(out) < batch and self._moved(file, self.leased / lease):
+                out.append(Message((self.leased / lease).read_text(encoding="utf-8"), lease))
         return out
 
+    @staticmethod
+    def _moved(file: Path, to: Path) -> bool:
+        """Whether this worker moved the file, and not another one before it."""
+        try:
+            os.replace(file, to)
+        except FileNotFoundError:
+            return False
+        return True
+
     def ack(self, lease_id: str) -> None:
         (self.leased / lease_id).unlink(missing_ok=True)
 
@@ -73,6 +82,7 @@ class QueueReader(SimpleDataSourceStreamReader):
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
         at = start["at"]
+        # An entry that was offered before is offered again; a committed one is never asked for.
         if self._entry(at).exists():
             return self._rows(at), {"at": at + 1}
         pulled = self.queue.pull(self.batch, self.visibility_ms)
@@ -91,10 +101,18 @@ class QueueReader(SimpleDataSourceStreamReader):
             yield from self._rows(at)
 
     def commit(self, end: dict) -> None:
-        for file in sorted(self.log.glob("*.json")):
-            if int(file.stem) < end["at"]:
-                for _, lease in json.loads(file.read_text(encoding="utf-8")):
-                    self.queue.ack(lease)
+        """Acknowledges the leases of the entries before ``end``, the last first. An entry goes once its leases are
+        acknowledged, so the first one that is gone ends the way back, and the log holds uncommitted entries only."""
+        done = []
+        for at in range(end["at"] - 1, -1, -1):
+            if not (file := self._entry(at)).exists():
+                break
+            done.append(file)
+        for file in reversed(done):
+            for _, lease in json.loads(file.read_text(encoding="utf-8")):
+                self.queue.ack(lease)
+        for file in done[::-1]:
+            file.unlink(missing_ok=True)
 
 
 class QueueSource(DataSource):

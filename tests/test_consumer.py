@@ -178,42 +178,58 @@ class Store:
 
 def test_object_transfer(tmp_path, monkeypatch):
     monkeypatch.setenv(objects.FOLDER, str(tmp_path / "base"))
-    store = Store({"there"})
-    path = objects.download_to_dir(store, "scans/2024/a.las", tmp_path, "b")
+    shelf = objects.Bucket(Store({"there"}), "b")
+    path = shelf.fetch_into(tmp_path, "scans/2024/a.las")
     assert path == tmp_path / "a.las" and path.read_text() == "data"
     with pytest.raises(FileExistsError):
-        objects.download_to_dir(store, "scans/2025/a.las", tmp_path, "b")
-    assert objects.download_to_dir(store, "../../etc/x", tmp_path, "b") == tmp_path / "x"
-    assert objects.download_to_dir(store, "c\\d.las", tmp_path, "b").name == "d.las"
+        shelf.fetch_into(tmp_path, "scans/2025/a.las")
+    assert shelf.overwriting().fetch_into(tmp_path, "scans/2025/a.las") == path
+    assert shelf.fetch_into(tmp_path, "../../etc/x") == tmp_path / "x" and shelf.fetch_into(tmp_path, "k", "y") == tmp_path / "y"
+    assert shelf.fetch_into(tmp_path, "c\\d.las").name == "d.las"
     for bad in ("", ".", "..", "a/"):
         with pytest.raises(ValueError):
-            objects.safe_join(tmp_path, bad)
+            objects.within(tmp_path, bad)
+    (tmp_path / "way").symlink_to("/etc")
+    with pytest.raises(ValueError):
+        objects.within(tmp_path, "way")
     with pytest.raises(FileExistsError):
-        objects.upload_object(store, path, "there", "b")
-    assert objects.upload_object(store, path, "there", "b", overwrite=True) == "there"
-    assert objects.upload_from_dir(store, tmp_path, "a.las", "new", "b") == "new"
+        shelf.store(path, "there")
+    assert shelf.overwriting().store(path, "there") == "there"
+    assert shelf.store_from(tmp_path, "a.las", "new") == "new"
     with pytest.raises(Exception) as e:
-        objects.upload_object(store, path, "forbidden", "b")
+        shelf.store(path, "forbidden")
     assert not isinstance(e.value, FileExistsError)
     with pytest.raises(ValueError):
-        objects.upload_object(store, path, "..", "b")
+        shelf.store(path, "..")
     monkeypatch.delenv(objects.BUCKET, raising=False)
     with pytest.raises(ConfigError):
-        objects.upload_object(store, path, "k")
-    with objects.temp_download_dir("job/1") as d:
+        objects.Bucket.default(shelf.client)
+    monkeypatch.setenv(objects.BUCKET, "c")
+    assert objects.Bucket.default(shelf.client).name == "c"
+    with objects.Scratch().lent("job/1") as d:
         assert d.is_dir() and d.name.startswith("job_1-") and d.stat().st_mode & 0o777 == 0o700
     assert not d.exists()
-    assert objects.download_to_temp(store, "k/v.las", "b").name == "v.las"
+    assert shelf.fetch_aside("k/v.las").name == "v.las"
+    with pytest.raises(ConfigError):
+        objects.Scratch("not/absolute")
 
 
 def test_private_folders(tmp_path):
     (tmp_path / "real").mkdir()
     (tmp_path / "link").symlink_to(tmp_path / "real")
     with pytest.raises(InsecureDirectoryError):
-        objects.private_dir(tmp_path / "link")
+        objects.Scratch.locked(tmp_path / "link")
     with pytest.raises(ConfigError):
-        objects.private_dir(tmp_path / "no" / "parent")
-    assert objects.private_dir(tmp_path / "real").stat().st_mode & 0o777 == 0o700
+        objects.Scratch.locked(tmp_path / "no" / "parent")
+    assert objects.Scratch.locked(tmp_path / "real").stat().st_mode & 0o777 == 0o700
+
+
+def test_a_client_needs_all_settings():
+    full = {objects.ACCOUNT: "0" * 32, objects.HOST: "example.org", objects.ACCESS_KEY: "k", objects.SECRET_KEY: "s"}
+    with pytest.raises(ConfigError, match=objects.SECRET_KEY):
+        objects.connect(full | {objects.SECRET_KEY: ""})
+    with pytest.raises(ConfigError, match="account"):
+        objects.connect(full | {objects.ACCOUNT: "evil.example/"})
 
 
 def test_settings_and_ids():

@@ -18,9 +18,9 @@ def test_one_package_end_to_end(spark, tmp_path):
     assert out.point_count == 3
     facts, records = read_cloud(out.output)
     assert facts["version"] == (1, 4) and facts["format"] == 7 and facts["count"] == 3 and facts["wkt"]
-    assert np.allclose(facts["xyz"], [[500000, 4500000, 100], [500001, 4499997, 102], [500002, 4499993.988, 104]], atol=2e-3)
-    assert records["red"].tolist() == [2570] * 3 and records["blue"].tolist() == [65535] * 3
-    assert records["confidence"].tolist() == [1, 2, 2] and records["scan_time"].tolist() == [0.0, 0.5, 1.5]
+    assert np.allclose(facts["xyz"], [[612000, 5204000, 38.5], [612001, 5203997, 40.5], [612002, 5203993.988, 42.5]], atol=2e-3)
+    assert records["red"].tolist() == [4626] * 3 and records["blue"].tolist() == [61680] * 3
+    assert records["confidence"].tolist() == [1, 2, 2] and records["scan_time"].tolist() == [10.0, 10.25, 10.75]
     report = json.loads(out.report.read_text())
     assert report["formatVersion"] == 1 and report["exportedPointCount"] == 3 and report["anchorScan"] == "a"
     assert report["scans"][0]["finalTransform"] == report["scans"][0]["initialTransform"]
@@ -67,11 +67,43 @@ def test_local_and_joined_alignment_agree(spark, tmp_path):
     assert a[1] == b[1] and abs(a[2] - b[2]) < 1e-9 and np.allclose(a[0].matrix(), b[0].matrix(), atol=1e-5)
 
 
+def test_features_seed_all_pairs_at_once(spark, tmp_path):
+    """Two scans that only their features bring together: the same points seen by one keyframe of each."""
+    from cloudweft.operators.visual import register_keyframes, Features
+    from cloudweft.plans.registration import seeds_of_pairs
+    from cloudweft.schema import FEATURES
+    from cloudweft.sources.keyframes import frames
+
+    rng = np.random.default_rng(21)
+    wide, tall = 40, 30
+    depth = rng.uniform(1, 6, (tall, wide)).astype("<f4")
+    frame = {"sceneDepthPayload": {"width": wide, "height": tall, "depthMapFilename": "d.bin"}, "imageWidth": wide, "imageHeight": tall, "cameraIntrinsics": [30, 0, 0, 0, 30, 0, 20, 15, 1], "imageFilename": "i"}
+    places = rng.choice(wide * tall, 60, replace=False)
+    descriptors = rng.normal(size=(60, 16)).astype(np.float32)
+    packages, rows, features = [], [], []
+    for k, shift in enumerate(((0, 0, 0), (0.6, 0.1, -0.4))):
+        path = write_package(tmp_path, f"v{k}", np.eye(3), confidence=2)
+        (path / "keyframes").mkdir()
+        depth.tofile(path / "keyframes" / "d.bin")
+        (path / "keyframes.json").write_text(json.dumps([frame | {"cameraTransform": [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0, *shift, 1]}]))
+        packages.append(open_package(path))
+        uv = np.column_stack([places % wide, places // wide]).astype(np.float32)
+        rows += [(k, j, 0, float(u), float(v), [float(x) for x in descriptors[j]]) for j, (u, v) in enumerate(uv)]
+        features.append(Features(frames(path), descriptors, np.zeros(60, dtype=int), uv))
+    table = spark.createDataFrame(rows, FEATURES)
+    found = seeds_of_pairs(spark, packages, table, [(0, 1)])[0, 1]
+    alone = register_keyframes(*(p.path for p in packages), *features, *(p.geo.matrix() for p in packages))
+    assert (found.matches, found.inliers) == (alone.matches, alone.inliers) == (60, 60)
+    assert np.allclose(found.motion.matrix(), alone.motion.matrix(), atol=1e-4) and found.rmse < 1e-3
+    with pytest.warns(UserWarning, match="visual"), pytest.raises(ValueError, match="connect"):
+        register_scans(spark, packages)
+
+
 def test_inputs_that_cannot_be_registered(spark, tmp_path):
     one = open_package(write_package(tmp_path, "a", np.eye(3), confidence=2))
     far = open_package(write_package(tmp_path, "b", np.eye(3), confidence=2, east=900_000.0))
     none = open_package(write_package(tmp_path, "c", np.eye(3), geoReference=None))
-    other = open_package(write_package(tmp_path, "d", np.eye(3), geoReference={"epsgCode": 32619, "originEasting": 0, "originNorthing": 0, "originAltitude": 0, "worldToENURotationRadians": 0}))
+    other = open_package(write_package(tmp_path, "d", np.eye(3), geoReference={"epsgCode": 32634, "originEasting": 0, "originNorthing": 0, "originAltitude": 0, "worldToENURotationRadians": 0}))
     few = open_package(write_package(tmp_path, "e", np.eye(3), confidence=0))
     for packages, message in (([], "at least one"), ([one, none], "no georeference"), ([one, other], "different"), ([few], "too few"), ([one, far], "connect")):
         with pytest.raises(ValueError, match=message):
@@ -80,7 +112,7 @@ def test_inputs_that_cannot_be_registered(spark, tmp_path):
 
 def test_corrections_are_counted_from_zero_again(tmp_path):
     packages = [open_package(write_package(tmp_path, n, np.eye(3))) for n in "ab"]
-    motion = Rigid(0.13).rebased((500_000.0, 4_500_000.0, 100.0), to_centred=False)
+    motion = Rigid(0.13).rebased((612_000.0, 5_204_000.0, 38.5), to_centred=False)
     result = solve(packages, [Edge(0, 1, motion, 50, 0.01, 0.5)], RegistrationParams())
     assert np.allclose(result.corrections[1].matrix(), motion.matrix(), atol=1e-4)
 
@@ -96,4 +128,4 @@ def test_empty_cloud_and_names(spark, tmp_path):
 
 
 def test_coordinate_systems():
-    assert '"EPSG","32618"' in utm_wkt(32618) and "-75" in utm_wkt(32618) and "10000000" in utm_wkt(32733)
+    assert '"EPSG","32633"' in utm_wkt(32633) and '"central_meridian",15' in utm_wkt(32633) and "10000000" in utm_wkt(32733)

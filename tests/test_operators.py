@@ -109,6 +109,16 @@ def test_trimming_is_an_exact_quantile(spark):
     assert kept.count() == (d <= np.quantile(d, 0.8)).sum()
 
 
+@pytest.mark.parametrize("share", [0.0, 0.37, 0.8, 1.0])
+def test_quantiles_of_groups(spark, share):
+    rng = np.random.default_rng(7)
+    groups = {"spread": rng.exponential(1, 501), "ties": rng.integers(0, 4, 300) / 3, "zeros": np.zeros(40), "one": np.array([2.5]), "two": np.array([1.0, 4.0])}
+    table = spark.createDataFrame([(k, float(v)) for k, values in groups.items() for v in values] + [("one", None)], "k string, d double")
+    got = {r.k: r.cut for r in nearest.quantile(table, "d", share, ["k"]).collect()}
+    assert got.keys() == groups.keys() and all(abs(got[k] - np.quantile(v, share)) < 1e-12 for k, v in groups.items())
+    assert nearest.trimmed(table.limit(0).select("k", F.col("d").alias("distance")), by=["k"]).count() == 0
+
+
 def test_alignment_recovers_a_motion():
     rng = np.random.default_rng(42)
     moving = np.column_stack([rng.uniform(-4, 4, 2000), rng.uniform(-2, 2, 2000), rng.uniform(-1, 2, 2000)])
@@ -206,6 +216,47 @@ def test_two_nearest_in_spark(spark):
     assert got == dict(visual.ratio_matches(q.astype(np.float32), t.astype(np.float32)))
 
 
+def test_two_nearest_in_blocks_with_ties(spark):
+    rng = np.random.default_rng(13)
+    t = rng.integers(0, 3, (90, 4)).astype(float)
+    frame = lambda name: spark.createDataFrame([(k, [float(v) for v in x]) for k, x in enumerate(t)], f"{name} long, descriptor array<float>")
+    got = {r.qid: (r.tid, r.d1, r.d2) for r in visual.knn2(frame("qid"), frame("tid"), None, blocks=3, skip_same=True).collect()}
+    for k in range(90):
+        apart = np.linalg.norm(t - t[k], axis=1)
+        apart[k] = np.inf
+        order = np.argsort(apart, kind="stable")
+        assert got[k] == (order[0], apart[order[0]], apart[order[1]])
+
+
+def test_candidate_pairs_with_one_wide_box(spark):
+    rng = np.random.default_rng(14)
+    low = rng.uniform(-50, 50, (60, 2))
+    high = low + rng.uniform(0, 4, (60, 2))
+    low[7], high[7] = (-200, -3), (300, 2)
+    rows = [(k, *map(float, (low[k, 0], high[k, 0], low[k, 1], high[k, 1]))) for k in range(60)]
+    boxes = spark.createDataFrame(rows, "source_id int, low_x double, high_x double, low_y double, high_y double")
+    for padding in (0.0, 1.5):
+        want = {(a, b) for a in range(60) for b in range(a + 1, 60) if (low[a] - padding <= high[b]).all() and (low[b] - padding <= high[a]).all()}
+        found = [(r.fixed, r.moving) for r in pairs.candidate_pairs(boxes, padding).collect()]
+        assert set(found) == want and len(found) == len(want)
+
+
+def test_derivatives_of_the_pose_graph():
+    rng = np.random.default_rng(15)
+    edges = [edge(a, b, Rigid(*rng.uniform(-1, 1, 4))) for a, b in ((0, 1), (1, 2), (0, 2))]
+    system, x = pose_graph.Equations(3, edges), rng.uniform(-0.5, 0.5, (3, 4))
+    d = system.derivatives(x)
+    for k, e in enumerate(edges):
+        for column in range(8):
+            step = np.zeros((3, 4))
+            step[(e.fixed, e.moving)[column // 4], column % 4] = 1e-6
+            slope = (system.residuals(x + step)[k] - system.residuals(x - step)[k]) / 2e-6
+            assert np.allclose(d[k, :, column], slope, atol=1e-6)
+    for k, e in enumerate(edges):
+        gap = Rigid(*x[e.fixed]).inverse() @ Rigid(*x[e.moving]) @ e.motion.inverse()
+        assert np.allclose(system.residuals(x)[k], [pose_graph.YAW_METRES * gap.yaw, gap.tx, gap.ty, gap.tz])
+
+
 def test_best_hypothesis_is_the_earliest(spark):
     counts = spark.createDataFrame([(0, 4), (1, 9), (2, 9)], "hypothesis int, inliers long")
     assert visual.best_hypothesis(counts).first().hypothesis == 1

@@ -19,12 +19,33 @@ def test_points_keep_order_types_and_confidence(spark, tmp_path):
     assert [r.ord for r in rows] == [*range(20), *range(4)]
     assert [(r.x, r.y, r.z) for r in rows[:20]] == [tuple(map(float, p)) for p in xyz.astype(np.float32).astype(float)]
     assert [r.confidence for r in rows[20:]] == [0, 255, 200, 1]
-    assert rows[0].g == 200 and rows[3].scan_time == 1.5
+    assert rows[0].g == 96 and rows[3].scan_time == 10.75
     some = read_points(spark, packages, minimum_confidence=2)
     assert sorted(some.where("source_id = 1").toPandas()["ord"]) == [1, 2]
     assert read_points(spark, packages).where(F.col("confidence") >= 2).count() == some.count()
 
 
+def test_packages_by_uri(spark, tmp_path):
+    xyz = np.arange(60).reshape(20, 3) / 7
+    for name, chunks in (("a", 3), ("b", 1), ("hollow", 0)):
+        write_package(tmp_path / "in", name, xyz if chunks else [], chunks=chunks)
+    found = discover([f"file://{tmp_path}/in"])
+    assert [p.stem for p in found] == ["a", "b", "hollow"] and discover([found[1], tmp_path / "in" / "b.scanproject"])[1:] == [found[1]]
+    far = [open_package(p) for p in found]
+    near = [open_package(p) for p in discover([tmp_path / "in"])]
+    assert [(p.key, p.point_count, p.geo) for p in far] == [(p.key, p.point_count, p.geo) for p in near]
+    want = sorted(map(tuple, read_points(spark, near, 1).collect()))
+    assert sorted(map(tuple, read_points(spark, far, 1).collect())) == want
+    assert sorted(map(tuple, read_points(spark, [far[0], near[1], far[2]], 1).collect())) == want
+    assert read_points(spark, far[2:]).count() == 0
+    (tmp_path / "in" / "b.scanproject" / "chunk-00001.bin").write_bytes(b"x")
+    with pytest.raises(ScanPackageError, match="24"):
+        open_package(found[1])
+    for missing in (f"file://{tmp_path}/none", f"file://{tmp_path}/in/none.scanproject"):
+        with pytest.raises(ScanPackageError):
+            [open_package(p) for p in discover([missing])]
+
+
 def test_package_without_chunks(spark, tmp_path):
     package = open_package(write_package(tmp_path, "empty", [], chunks=0))
     assert read_points(spark, [package]).count() == 0
@@ -70,11 +91,11 @@ def test_accuracies():
 
 
 def test_projection(spark, tmp_path):
-    package = open_package(write_package(tmp_path, "a", [[2, 3, 4]]))
+    package = open_package(write_package(tmp_path, "a", [[5, 1.5, -2]]))
     table = scans(spark, [package])
     row = read_points(spark, [package]).join(table.select("source_id", "geo"), "source_id").select(*to_projected(F.col("x"), F.col("y"), F.col("z"), F.col("geo"))).first()
-    assert tuple(row) == (500002.0, 4499996.0, 103.0)
-    assert (package.geo.matrix() @ [2, 3, 4, 1])[:3].tolist() == [500002.0, 4499996.0, 103.0]
+    assert tuple(row) == (612005.0, 5204002.0, 40.0)
+    assert (package.geo.matrix() @ [5, 1.5, -2, 1])[:3].tolist() == [612005.0, 5204002.0, 40.0]
     assert table.first().geo.acc_v is None
 
 
