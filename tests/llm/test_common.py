@@ -1,6 +1,10 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from pyspark.sql import functions as F
 
-from cloudweft.llm import common
+from cloudweft.llm import bpe, common, exact, language, license_scan, quality, token_count
+from tests.llm.corpus import corpus
 
 
 def test_written_tables_and_discards(spark):
@@ -31,3 +35,40 @@ def test_a_cluster_needs_a_shared_folder():
         common.shared_dir(Session())
     Session.conf["spark.checkpoint.dir"] = "hdfs://x/"
     assert common.shared_dir(Session()) == "hdfs://x"
+
+
+def test_two_threads_keep_their_own_tables(spark, table):
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")}
+    frames = [table(corpus(k, 20)) for k in range(2)]
+    want = [exact.drop_copies(df).count() for df in frames]
+
+    def run(k):
+        mark = common.tables()
+        kept = common.written(frames[k], "own")
+        for _ in range(3):
+            common.discard(spark, mark, kept)
+            found = exact.drop_copies(kept).count()
+        return found
+
+    with ThreadPoolExecutor(2) as both:
+        assert list(both.map(run, range(2))) == want
+    assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+@pytest.mark.parametrize(
+    ("call", "own"),
+    [
+        (lambda df: quality.signal_table(df), ["N_Words", "Pattern"]), (lambda df: language.predict(df, (["en"], language.fit(df)[1][:, :1] if language.fit(df)[0] else None)), ["Lang_Pred", "Score"]),
+        (lambda df: bpe.encode_table(df), ["N_Tokens", "IDS"]), (lambda df: license_scan.scan(df), ["Matches", "x"]), (lambda df: token_count.count_tokens(df), ["N_Tokens", "Over_Limit"]),
+    ],
+    ids=["quality", "language", "bpe", "license", "tokens"],
+)
+def test_clashing_and_odd_columns(spark, table, call, own):
+    """Columns that differ from the result's in case only are replaced; odd names and structs stay."""
+    plain = table([(1, "some words and more", "en"), (2, None, "en"), (3, "", None)])
+    df = plain.withColumnsRenamed({"source": own[0], "n_chars": own[1]}).withColumn("a`b", F.lit(1)).withColumn("s", F.struct(F.lit(1).alias("a-b"), F.lit("x").alias("c d")))
+    out = call(df)
+    low = [c.lower() for c in out.columns]
+    assert len(low) == len(set(low)) and {"doc_id", "a`b", "s"} <= set(out.columns) and own[0] not in out.columns
+    rows = out.collect()
+    assert len(rows) == 3 and all(r["a`b"] == 1 and r.s["a-b"] == 1 for r in rows)

@@ -138,6 +138,21 @@ def test_linked_sets_share_a_signature(size, share, percent, seed):
     assert jaccard.least_difference(jaccard.long_sketch(a), jaccard.long_sketch(b)) <= len(a) + len(b) - 2 * both
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_large_sets_at_the_threshold_share_a_signature(percent):
+    rng = np.random.default_rng(percent)
+    for size in (430, 600, 1000, 3000, 8000, 20_000):
+        for _ in range(12):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            both = int(rng.integers(percent * len(a) // 100 + 1, len(a) + 1))
+            more = both * 100 // percent - len(a)
+            b = np.unique(np.concatenate([rng.permutation(a)[:both], rng.integers(0, 2**64, more, dtype=np.uint64)]))
+            assert 100 * both >= percent * (len(a) + len(b) - both) >= 100 * both - 200
+            if len(b) != both or both != len(a):
+                assert len(np.intersect1d(jaccard.signatures(a, percent), jaccard.signatures(b, percent)))
+        assert len(jaccard.signatures(a, percent)) < len(a)  # large sets need the first kind only
+
+
 def test_one_of_similar_texts_stays(table):
     rows = corpus(12, 80)
     df = table(rows).withColumnsRenamed({"lang": "row", "source": "doc", "n_chars": "node"})

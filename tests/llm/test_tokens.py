@@ -59,9 +59,9 @@ def test_counts_match_the_library(spark, folder):
     assert Counter(tuple(r) for r in found) == want
 
 
-def test_counts_do_not_depend_on_the_sample(spark, table):
+def test_counts_do_not_depend_on_tier_one(spark, table):
     df = table(corpus(7, 10)).select("doc_id", "text")
-    runs = [Counter(map(tuple, token_count.count_tokens(df, rows=n).collect())) for n in (0, 1, 1000)]
+    runs = [Counter(map(tuple, token_count.count_tokens(df, entries=n).collect())) for n in (1, 50, 30_000)]
     assert runs[0] == runs[1] == runs[2]
     assert token_count.count_tokens(df.limit(0)).count() == 0
 
@@ -95,6 +95,46 @@ def test_nothing_to_learn_from(spark, folder):
     assert queries.op3_language_id(spark, folder([])).count() == 0
 
 
+def test_frequent_words_are_counted_over_all_rows(spark, table, monkeypatch):
+    monkeypatch.setattr(token_count, "PART_COUNTS", 40)
+    monkeypatch.setattr(token_count, "PART_WORDS", 10)
+    rows = [(k, f"rare{k} rarer{k}\nrare{k} the " + "common " * (k % 3)) for k in range(300)] + [(1000, None), (1001, "")]
+    assert set(token_count.frequent_words(table(rows).repartition(3), entries=2)) == {"the", "common"}
+
+
+def plain_buckets(text):
+    """Bucket of each n-gram, character by character."""
+    clean = " " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " "
+    out = []
+    for n in language.ORDERS:
+        for k in range(len(clean) - n + 1):
+            x = n
+            for c in clean[k : k + n]:
+                x = ((x ^ ord(c)) * 0x9E3779B97F4A7C15) % 2**64
+                x ^= x >> 29
+            out.append((x >> 20) % language.BUCKETS)
+    return out
+
+
+def test_predictions_match_brute_force(spark, table):
+    import random
+    from math import exp, log
+
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choices(LANGS[lang].split(), k=rng.randint(1, 12))), lang) for k in range(80) for lang in [rng.choice(list(LANGS))]]
+    new = [(100, "the chat und le perro"), (101, "Die KATZE, and: 12 mesas"), (102, "x"), (103, ""), (104, None), (105, "12 %"), (106, " ".join(t for _, t, _ in rows))]
+    counts = {lang: Counter(b for _, t, own in rows if own == lang for b in plain_buckets(t)) for lang in sorted({r[2] for r in rows})}
+    found = {r.doc_id: r for r in language.predict(table(new), language.fit(table(rows))).collect()}
+    for i, text in new:
+        if not re.search(r"[^\W\d_]", text or ""):
+            assert (found[i].lang_pred, found[i].score) == ("und", 0.0)
+            continue
+        logs = {lang: sum(log((c[b] + language.ALPHA) / (sum(c.values()) + language.ALPHA * language.BUCKETS)) for b in plain_buckets(text)) for lang, c in counts.items()}
+        best = max(logs, key=logs.get)
+        assert found[i].lang_pred == best
+        assert abs(found[i].score - 1 / sum(exp(x - logs[best]) for x in logs.values())) < 1e-9
+
+
 def test_scores_match_direct_sums(spark, table):
     import numpy as np
 
