@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
@@ -19,7 +19,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType
 
-from cloudweft.llm.common import column, in_pieces, others, schema_of
+from cloudweft.llm.common import arrow_mapped, others
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 #: Texts longer than this many characters are encoded piece by piece.
@@ -68,11 +68,11 @@ def encode_table(docs: DataFrame, rank_path: str | None = None, pattern: str = p
     if digests:
         out += [("ids_sha256", StringType()), ("decoded_sha256", StringType())]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(texts: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
         codec = encoding(path, pattern)
-        for batch in in_pieces(batches):
+        for part in texts:
             counts, ids, raw, id_sums, raw_sums = [], [], [], [], []
-            for text in batch.column(0).to_pylist():
+            for text in part.to_pylist():
                 tokens = encode(text or "", codec)
                 back = codec.decode_bytes(tokens)
                 counts.append(len(tokens))
@@ -82,14 +82,11 @@ def encode_table(docs: DataFrame, rank_path: str | None = None, pattern: str = p
                 if digests:
                     id_sums.append(hashlib.sha256(",".join(map(str, tokens)).encode()).hexdigest())
                     raw_sums.append(hashlib.sha256(back).hexdigest())
-            arrays = [*(batch.column(i + 1) for i in range(len(kept))), pa.array(counts, pa.int64())]
-            names = [*kept, "n_tokens"]
+            arrays = [pa.array(counts, pa.int64())]
             if with_ids:
                 arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(raw, pa.binary())]
-                names += ["ids", "decoded"]
             if digests:
                 arrays += [pa.array(id_sums, pa.string()), pa.array(raw_sums, pa.string())]
-                names += ["ids_sha256", "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            yield arrays
 
-    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema_of(docs, kept, *out))
+    return arrow_mapped(docs, text_col, kept, compute, *out)

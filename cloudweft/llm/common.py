@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections import deque
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from cloudweft.scratch import discard, shared_dir, tables, written
 
-__all__ = ["ROWS", "SPACE_BYTES", "SPACE_CLASS", "column", "discard", "documents", "in_pieces", "labels", "others", "schema_of", "shared_dir", "tables", "whole_row", "written"]
+__all__ = ["ROWS", "SPACE_BYTES", "SPACE_CLASS", "arrow_mapped", "column", "discard", "documents", "in_pieces", "labels", "others", "schema_of", "shared_dir", "tables", "whole_row", "written"]
 
 #: The six ASCII white-space characters that separate words, as a Java character class and as bytes.
 SPACE_CLASS = r"\x20\x09-\x0D"
@@ -43,6 +44,31 @@ def schema_of(docs: DataFrame, kept: list[str], *added: tuple[str, DataType]) ->
     return StructType([*(StructField(c, own[c]) for c in kept), *(StructField(name, kind) for name, kind in added)])
 
 
+def arrow_mapped(docs: DataFrame, first: str, kept: list[str], compute: Callable[[Iterable[pa.Array]], Iterator[list[pa.Array]]], *added: tuple[str, DataType]) -> DataFrame:
+    """The ``kept`` columns and what ``compute`` makes of the column ``first``: it takes that column's slices and gives, for
+    each, the arrays of the ``added`` columns. Names from outside are set aside while Python runs, as not all of them pass."""
+    inner = [f"c{i}" for i in range(len(kept))]
+    own = schema_of(docs, kept)
+    schema = StructType([*(StructField(i, f.dataType) for i, f in zip(inner, own, strict=True)), *(StructField(name, kind) for name, kind in added)])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: deque[pa.RecordBatch] = deque()
+
+        def values() -> Iterator[pa.Array]:
+            for batch in in_pieces(batches):
+                waiting.append(batch)
+                yield batch.column(0)
+
+        for arrays in compute(values()):
+            batch = waiting.popleft()
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *arrays], names=names)
+
+    plain = docs.select(column(first).alias("first"), *(column(c).alias(i) for c, i in zip(kept, inner, strict=True)))
+    out = plain.mapInArrow(run, schema)
+    return out.select(*(F.col(i).alias(c) for c, i in zip(kept, inner, strict=True)), *(name for name, _ in added))
+
+
 def whole_row(docs: DataFrame) -> Column:
     return F.struct(*(column(c) for c in docs.columns))
 

@@ -13,7 +13,7 @@ are kept as they are, and those named as a column of the result, in whatever cas
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
-from cloudweft.llm.common import column, in_pieces, others, schema_of
+from cloudweft.llm.common import arrow_mapped, column, in_pieces, others
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3)
@@ -99,12 +99,11 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     kept = others(docs, text_col, "lang_pred", "score")
-    schema = schema_of(docs, kept, ("lang_pred", StringType()), ("score", DoubleType()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(parts: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
         names, table = shared.value
-        for batch in in_pieces(batches):
-            texts = batch.column(0).to_pylist()
+        for column_ in parts:
+            texts = column_.to_pylist()
             totals = np.zeros((len(texts), max(1, len(names))))
             usable = [i for i, text in enumerate(texts) if names and has_letter(text)]
             for group in itertools.batched(((i, part) for i in usable for part in slices(texts[i])), 64):
@@ -117,6 +116,6 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text_col: str
             known = set(usable)
             pred = [names[best[i]] if i in known else UNDETERMINED for i in range(len(texts))]
             score = [float(posterior[i]) if i in known else 0.0 for i in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(kept))), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=[*kept, "lang_pred", "score"])
+            yield [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
 
-    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)
+    return arrow_mapped(docs, text_col, kept, compute, ("lang_pred", StringType()), ("score", DoubleType()))

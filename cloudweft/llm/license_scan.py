@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from cloudweft.llm.common import column, in_pieces, others, schema_of
+from cloudweft.llm.common import arrow_mapped, others
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -156,13 +156,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, containment:
     texts = dict(templates or TEMPLATES)
     kept = others(docs, text_col, "matches")
     match = StructType([StructField("license", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("containment", DoubleType())])
-    schema = schema_of(docs, kept, ("matches", ArrayType(match)))
     kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("containment", pa.float64())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(parts: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
         index = Index(texts, containment)
-        for batch in in_pieces(batches):
-            found = [[dict(zip(("license", "start", "end", "containment"), m, strict=True)) for m in index.scan(text)] for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i + 1) for i in range(len(kept))), pa.array(found, kind)], names=[*kept, "matches"])
+        for part in parts:
+            found = [[dict(zip(("license", "start", "end", "containment"), m, strict=True)) for m in index.scan(text)] for text in part.to_pylist()]
+            yield [pa.array(found, kind)]
 
-    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)
+    return arrow_mapped(docs, text_col, kept, compute, ("matches", ArrayType(match)))

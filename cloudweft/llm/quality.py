@@ -13,7 +13,7 @@ as they are, and those of the result that clash with them, in whatever case, rep
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from cloudweft.llm.common import SPACE_BYTES, column, discard, in_pieces, others, schema_of, tables, whole_row, written
+from cloudweft.llm.common import SPACE_BYTES, arrow_mapped, column, discard, in_pieces, others, tables, whole_row, written
 
 WINDOW = 8
 THRESHOLD = 0.5
@@ -160,16 +160,14 @@ def signal_table(docs: DataFrame, text_col: str = "text", keep: list[str] | None
     """``keep`` columns of ``docs`` (all but the text by default), then the signals and the pattern of votes."""
     taken = (*SIGNALS, "n_shouts", "pattern", text_col)
     kept = [c for c in others(docs, *taken) if keep is None or c in keep]
-    schema = schema_of(docs, kept, *((c, LongType()) for c in (*SIGNALS, "n_shouts")), ("pattern", IntegerType()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_pieces(batches):
-            found = [signals(text) for text in batch.column(0).to_pylist()]
+    def compute(texts: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
+        for part in texts:
+            found = [signals(text) for text in part.to_pylist()]
             columns = zip(*found, strict=True) if found else [()] * (len(SIGNALS) + 1)
-            arrays = [*(batch.column(i + 1) for i in range(len(kept))), *(pa.array(c, pa.int64()) for c in columns), pa.array([pattern(votes(s)) for s in found], pa.int32())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *SIGNALS, "n_shouts", "pattern"])
+            yield [*(pa.array(c, pa.int64()) for c in columns), pa.array([pattern(votes(s)) for s in found], pa.int32())]
 
-    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)
+    return arrow_mapped(docs, text_col, kept, compute, *((c, LongType()) for c in (*SIGNALS, "n_shouts")), ("pattern", IntegerType()))
 
 
 def fit_table(table: DataFrame) -> Model:
@@ -187,14 +185,12 @@ def judged(table: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
     codes = list(range(3 ** len(RULES)))  # 19,683 entries
     values = spark.sparkContext.broadcast(model.posterior(codes))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("pattern")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values.value[batch.column(at).to_numpy()])], names=[*batch.schema.names, "quality"])
+    def compute(codes: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
+        for part in codes:
+            yield [pa.array(values.value[part.to_numpy()])]
 
-    rest = table.select(*map(column, others(table, "quality", "base_failed", "kept")))
-    schema = schema_of(rest, rest.columns, ("quality", DoubleType()))
-    return rest.mapInArrow(run, schema).withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
+    found = arrow_mapped(table, "pattern", others(table, "quality", "base_failed", "kept"), compute, ("quality", DoubleType()))
+    return found.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

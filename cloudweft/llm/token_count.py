@@ -17,7 +17,7 @@ from __future__ import annotations
 import functools
 import itertools
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType
 from tokenizers import Tokenizer
 
-from cloudweft.llm.common import column, in_pieces, others, schema_of
+from cloudweft.llm.common import arrow_mapped, column, in_pieces, others
 
 TOKENIZER_FILE = "byte_bpe_50k.json"
 TOKEN_LIMIT = 512
@@ -74,22 +74,27 @@ def lengths(parts: list[str], path: str) -> list[int]:
     return [len(x.ids) for x in tokenizer(path).encode_batch(parts, add_special_tokens=False)]
 
 
+def counted(texts: Iterable[str | None], most: int = PART_COUNTS) -> Counter[str]:
+    """Words between blanks, in a table that keeps its more frequent half whenever it has more than ``most`` entries."""
+    seen: Counter[str] = Counter()
+    for text in texts:
+        seen.update((text or "").split(" "))
+        if len(seen) > most:
+            seen = Counter(dict(seen.most_common(most // 2)))
+    return seen
+
+
 def frequent_words(docs: DataFrame, text_col: str = "text", entries: int = FREQUENT) -> list[str]:
     """The most frequent words between blanks, from counts over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for batch in in_pieces(batches):
-            for text in batch.column(0).to_pylist():
-                seen.update((text or "").split(" "))
-                if len(seen) > PART_COUNTS:
-                    seen = Counter(dict(seen.most_common(PART_COUNTS // 2)))
+        seen = counted(text for batch in in_pieces(batches) for text in batch.column(0).to_pylist())
         top = [(w, n) for w, n in seen.most_common(PART_WORDS) if len(w) <= WORD_CHARS]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], names=["word", "n"])
 
     parts = docs.select(column(text_col).alias("text")).mapInArrow(run, "word string, n long")
-    counted = parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(entries)
-    return [r.word for r in counted.collect()]
+    first = parts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(entries)
+    return [r.word for r in first.collect()]
 
 
 def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", entries: int = FREQUENT) -> dict[str, int]:
@@ -105,17 +110,16 @@ def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text
     path = path or public_tokenizers.path(TOKENIZER_FILE)
     table = spark.sparkContext.broadcast(frequent_lengths(docs, path, text_col, entries))
     kept = others(docs, text_col, "n_bytes", "n_tokens", "over_limit")
-    schema = schema_of(docs, kept, ("n_bytes", LongType()), ("n_tokens", LongType()), ("over_limit", BooleanType()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compute(texts: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
         known: dict[str, int] = dict(table.value)
         base, special = len(known), specials(path)
-        for batch in in_pieces(batches):
+        for batch in texts:
             if len(known) > base + CACHE_ENTRIES:
                 known = dict(table.value)
             sizes, counts = [], []
             parts, whole = [], []
-            for text in batch.column(0).to_pylist():
+            for text in batch.to_pylist():
                 text = text or ""
                 sizes.append(len(text.encode()))
                 odd = any(s in text for s in special)
@@ -125,7 +129,6 @@ def count_tokens(docs: DataFrame, path: str | None = None, text_col: str = "text
                 known.update(zip(missing, lengths(missing, path), strict=True))
             for text, own in zip(whole, parts, strict=True):
                 counts.append(sum(map(known.__getitem__, own)) if text is None else lengths([text], path)[0])
-            arrays = [*(batch.column(i + 1) for i in range(len(kept))), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*kept, "n_bytes", "n_tokens", "over_limit"])
+            yield [pa.array(sizes, pa.int64()), pa.array(counts, pa.int64()), pa.array([n > limit for n in counts], pa.bool_())]
 
-    return docs.select(column(text_col).alias("text"), *map(column, kept)).mapInArrow(run, schema)
+    return arrow_mapped(docs, text_col, kept, compute, ("n_bytes", LongType()), ("n_tokens", LongType()), ("over_limit", BooleanType()))

@@ -58,7 +58,7 @@ def test_two_threads_keep_their_own_tables(spark, table):
 @pytest.mark.parametrize(
     ("call", "own"),
     [
-        (lambda df: quality.signal_table(df), ["N_Words", "Pattern"]), (lambda df: language.predict(df, (["en"], language.fit(df)[1][:, :1] if language.fit(df)[0] else None)), ["Lang_Pred", "Score"]),
+        (lambda df: quality.signal_table(df), ["N_Words", "Pattern"]), (lambda df: language.predict(df, language.fit(df)), ["Lang_Pred", "Score"]),
         (lambda df: bpe.encode_table(df), ["N_Tokens", "IDS"]), (lambda df: license_scan.scan(df), ["Matches", "x"]), (lambda df: token_count.count_tokens(df), ["N_Tokens", "Over_Limit"]),
     ],
     ids=["quality", "language", "bpe", "license", "tokens"],
