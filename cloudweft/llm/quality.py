@@ -20,9 +20,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from cloudweft.llm.common import SPACE_BYTES, arrow_mapped, column, discard, in_pieces, others, tables, whole_row, written
+from cloudweft.llm.common import SPACE_BYTES, arrow_mapped, column, in_pieces, others, whole_row
 
 WINDOW = 8
 THRESHOLD = 0.5
@@ -194,21 +194,20 @@ def judged(table: DataFrame, model: Model, threshold: float = THRESHOLD) -> Data
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns. Each text's votes are taken once and written beside its
-    row; the patterns that the model accepts, of those that occur, then choose the rows."""
-    spark, mark = docs.sparkSession, tables()
-    schema = StructType([StructField("doc", StructType(docs.schema.fields)), StructField("pattern", IntegerType()), StructField("failed", BooleanType())])
+    """The rows of ``docs`` that are kept, with all their columns. Texts are read twice, first to count votes and then to
+    judge each row where it is read: a copy of all texts with their votes would take as much disk as the input."""
+    spark = docs.sparkSession
+    model = fit_table(signal_table(docs, text_col, []))
+    values = spark.sparkContext.broadcast(model.posterior(list(range(3 ** len(RULES)))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches):
-            found = [signals(text) for text in batch.column(0).to_pylist()]
-            arrays = [batch.column(1), pa.array([pattern(votes(s)) for s in found], pa.int32()), pa.array([s[0] < 20 or 100 * s[4] > 30 * s[0] for s in found], pa.bool_())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc", "pattern", "failed"])
-
-    table = written(docs.select(column(text_col).alias("text"), whole_row(docs).alias("doc")).mapInArrow(run, schema), "votes")
-    counted = {r.pattern: r.n for r in table.groupBy("pattern").agg(F.count("*").alias("n")).collect()}  # at most 3 ** rules
-    codes = sorted(counted)
-    good = [c for c, p in zip(codes, fit(counted).posterior(codes), strict=True) if p >= threshold]
-    discard(spark, mark, table)
-    side = F.broadcast(spark.createDataFrame([(c,) for c in good], "pattern int"))
-    return table.where("not failed").join(side, "pattern", "left_semi").select("doc.*")
+            keep = []
+            for text in batch.column(0).to_pylist():
+                s = signals(text)
+                failed = s[0] < 20 or 100 * s[4] > 30 * s[0]
+                keep.append(not failed and bool(values.value[pattern(votes(s))] >= threshold))
+            yield batch.select(["doc"]).filter(pa.array(keep, pa.bool_()))
+
+    schema = StructType([StructField("doc", StructType(docs.schema.fields))])
+    return docs.select(column(text_col).alias("text"), whole_row(docs).alias("doc")).mapInArrow(run, schema).select("doc.*")
