@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cloudweft.functions.geometry import moved
 from cloudweft.functions.rigid import Rigid, fit_yaw
 from cloudweft.operators.nearest import nearest, rmse, trimmed, yaw_fit
+from cloudweft.scratch import discard, tables, written
 
 #: The last gate in metres, the share of matches that are fitted, and the fewest matches.
 FINE_GATE = 0.5
@@ -112,8 +113,8 @@ def align(fixed: np.ndarray, moving: np.ndarray, widest: float, iterations: int
 
 
 def align_frames(fixed: DataFrame, moving: DataFrame, widest: float, iterations: int = ITERATIONS, start: Rigid | None = None) -> Alignment | None:
-    """As ``align``, over (id, x, y, z) tables. A round is one job that returns one row; the motion is four numbers, so
-    lineage does not grow."""
+    """As ``align``, over (id, x, y, z) tables. A round writes its matches, fits them and lets them go; the motion is four
+    numbers, so lineage does not grow."""
     total = moving.count()
     centre_row = fixed.agg(*(F.avg(a).alias(a) for a in "xyz")).first()
     if not total or centre_row.x is None:
@@ -127,10 +128,13 @@ def align_frames(fixed: DataFrame, moving: DataFrame, widest: float, iterations:
         x, y, z = moved(F.col("x"), F.col("y"), F.col("z"), F.lit(m.yaw), F.lit(m.tx), F.lit(m.ty), F.lit(m.tz))
         return there.select("id", x.alias("x"), y.alias("y"), z.alias("z"))
 
+    spark = fixed.sparkSession
     for gate in gates(widest, iterations):
-        matches = nearest(placed(motion), here, gate)
-        fit = yaw_fit(trimmed(matches)).crossJoin(F.broadcast(matches.agg(F.count("*").alias("matched")))).first()
-        if fit is None or fit.matched < LEAST_MATCHES:
+        mark = tables()
+        matches = written(nearest(placed(motion), here, gate), "matches")
+        fit = yaw_fit(trimmed(matches)).first() if matches.count() >= LEAST_MATCHES else None
+        discard(spark, mark)
+        if fit is None:
             return None
         motion = Rigid(fit.yaw, fit.tx, fit.ty, fit.tz) @ motion
     end = nearest(placed(motion), here, min(FINE_GATE, widest)).agg(F.count("*").alias("n"), rmse().alias("rmse")).first()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from cloudweft.functions.geometry import cell
-from cloudweft.scratch import written
+from cloudweft.scratch import is_written, written
 
 _CELL = ("__cx", "__cy", "__cz")
 #: Ranges into which distances are counted before the quantile is looked for in one or two of them.
@@ -65,8 +65,9 @@ def quantile(table: DataFrame, column: str, share: float, by: Sequence[str] = ()
 
 
 def trimmed(matches: DataFrame, share: float = 0.8, by: Sequence[str] = ()) -> DataFrame:
-    """Matches up to the exact, interpolated quantile of distances. They are written once, as they are read four times."""
-    matches = written(matches, "matches")
+    """Matches up to the exact, interpolated quantile of distances. They are written once, as they are read four times,
+    unless they are a written table already."""
+    matches = matches if is_written(matches) else written(matches, "matches")
     cut = quantile(matches, "distance", share, by)
     joined = matches.join(F.broadcast(cut), list(by)) if by else matches.crossJoin(F.broadcast(cut))  # one row, or one for each pair
     return joined.where(F.col("distance") <= F.col("cut")).drop("cut")

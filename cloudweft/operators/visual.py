@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from pathlib import Path
-from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -14,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cloudweft.functions.geometry import depth_offset, unprojected, usable_depth
 from cloudweft.functions.rigid import Rigid, fit_yaw
-from cloudweft.sources.keyframes import world_point
 
 #: The ratio test, the fewest matches and inliers, metres of an inlier, hypotheses and the seed of their draws.
 RATIO = 0.75
@@ -35,16 +32,6 @@ class VisualSeed:
     rmse: float
 
 
-@dataclass(frozen=True)
-class Features:
-    """Of one scan: its usable frames and, for each feature, descriptor, frame and image point."""
-
-    frames: list[dict[str, Any]]
-    descriptors: np.ndarray
-    frame: np.ndarray
-    points: np.ndarray
-
-
 def ratio_matches(moving: np.ndarray, fixed: np.ndarray, ratio: float = RATIO) -> list[tuple[int, int]]:
     """(moving, nearest fixed) where the nearest is closer than ``ratio`` times the second; exact, in blocks."""
     if len(fixed) < 2:
@@ -85,22 +72,6 @@ def seeded(pairs: np.ndarray, targets: np.ndarray, matches: int, least: int = LE
     return VisualSeed(motion, matches, int(inlier.sum()), float(np.sqrt((errors**2).mean())))
 
 
-def register_keyframes(fixed: Path, moving: Path, fixed_features: Features | None, moving_features: Features | None, fixed_matrix: np.ndarray, moving_matrix: np.ndarray, least: int = LEAST_INLIERS, threshold: float = INLIER_METRES) -> VisualSeed | None:
-    """A motion between projected scans from their features; matrices take local points to projected ones."""
-    if fixed_features is None or moving_features is None:
-        return None
-    matches = ratio_matches(moving_features.descriptors, fixed_features.descriptors)
-    here, there = [], []
-    for m, f in matches:
-        p = world_point(moving, moving_features.frames[moving_features.frame[m]], moving_features.points[m])
-        q = world_point(fixed, fixed_features.frames[fixed_features.frame[f]], fixed_features.points[f])
-        if p is not None and q is not None:
-            there.append(p)
-            here.append(q)
-    project = lambda points, t: np.array(points).reshape(-1, 3) @ t[:3, :3].T + t[:3, 3]
-    return seeded(project(there, moving_matrix), project(here, fixed_matrix), len(matches), least, threshold)
-
-
 def seed_table(sides: DataFrame, least: int = LEAST_INLIERS, threshold: float = INLIER_METRES) -> DataFrame:
     """(fixed, moving, yaw, tx, ty, tz, matches, inliers, rmse) of the pairs that have a seed. ``sides`` holds the features of
     both scans of each pair: fixed, moving, is_fixed, feat_id, descriptor, and x, y, z, projected, null without a depth.

@@ -339,7 +339,7 @@ _TRUE = Rigid(0.004, 0.12, -0.08, 0.05)
 
 
 @query(f"""WITH {PTS}, few AS (SELECT count(*) AS n FROM (SELECT DISTINCT floor(x / 2), floor(y / 2), floor(z / 2) FROM pts))
-SELECT {_TRUE.yaw} AS yaw, {_TRUE.tx} AS tx, {_TRUE.ty} AS ty, {_TRUE.tz} AS tz, n, 1.0::DOUBLE AS overlap FROM few""")
+SELECT {_TRUE.yaw}::DOUBLE AS yaw, {_TRUE.tx}::DOUBLE AS tx, {_TRUE.ty}::DOUBLE AS ty, {_TRUE.tz}::DOUBLE AS tz, n, 1.0::DOUBLE AS overlap FROM few""")
 def icp_recover(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cloud and its copy moved by a known motion, as two scans of a pair that are aligned: the motion that was found."""
     cloud = written(voxel.downsample(points(spark, sf_dir), 2.0, ORDER, ()).select(F.xxhash64(*ORDER).alias("id"), "x", "y", "z"), "cloud")

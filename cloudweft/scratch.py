@@ -86,6 +86,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def is_written(df: DataFrame) -> bool:
+    return hasattr(df, "_cloudweft_path")
+
+
 def tables() -> int:
     """A mark for ``discard``: how many tables this thread has written."""
     return len(_own.paths)

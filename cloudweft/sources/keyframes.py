@@ -41,30 +41,6 @@ def raster(package: Path, name: str, dtype: str, count: int) -> np.ndarray | Non
     return np.memmap(file, dtype=dtype, mode="r", shape=(count,))
 
 
-def world_point(package: Path, frame: dict[str, Any], point: tuple[float, float]) -> np.ndarray | None:
-    """Where an image point lies in the scan's coordinates; None without a usable depth."""
-    payload = frame["sceneDepthPayload"]
-    width, height, across, down = int(payload["width"]), int(payload["height"]), int(frame["imageWidth"]), int(frame["imageHeight"])
-    if min(width, height, across, down) <= 0:
-        return None
-    u, v = float(point[0]), float(point[1])
-    column, line = (int(min(max(np.rint(p * n / m), 0), n - 1)) for p, n, m in ((u, width, across), (v, height, down)))
-    depths = raster(package, payload["depthMapFilename"], "<f4", width * height)
-    if depths is None:
-        return None
-    depth = float(depths[line * width + column])
-    if not np.isfinite(depth) or not 0.05 < depth <= 8.0:
-        return None
-    if name := payload.get("confidenceMapFilename"):
-        trust = raster(package, name, "u1", width * height)
-        if trust is None or trust[line * width + column] < 1:
-            return None
-    lens = np.reshape(np.array(frame["cameraIntrinsics"], dtype=float), (3, 3)).T
-    pose = np.reshape(np.array(frame["cameraTransform"], dtype=float), (4, 4)).T
-    seen = np.array([(u - lens[0, 2]) * depth / lens[0, 0], -(v - lens[1, 2]) * depth / lens[1, 1], -depth, 1.0])
-    return (pose @ seen)[:3]
-
-
 def frame_table(spark: SparkSession, packages: list[Path]) -> DataFrame:
     """(source_id, frame_idx, width, height, image_width, image_height, depth, confidence, intrinsics, pose)."""
     rows = []

@@ -69,32 +69,29 @@ def test_local_and_joined_alignment_agree(spark, tmp_path):
 
 def test_features_seed_all_pairs_at_once(spark, tmp_path):
     """Two scans that only their features bring together: the same points seen by one keyframe of each."""
-    from cloudweft.operators.visual import register_keyframes, Features
-    from cloudweft.plans.registration import seeds_of_pairs
+    from cloudweft.plans.registration import register_keyframes
     from cloudweft.schema import FEATURES
-    from cloudweft.sources.keyframes import frames
 
     rng = np.random.default_rng(21)
     wide, tall = 40, 30
     depth = rng.uniform(1, 6, (tall, wide)).astype("<f4")
     frame = {"sceneDepthPayload": {"width": wide, "height": tall, "depthMapFilename": "d.bin"}, "imageWidth": wide, "imageHeight": tall, "cameraIntrinsics": [30, 0, 0, 0, 30, 0, 20, 15, 1], "imageFilename": "i"}
     places = rng.choice(wide * tall, 60, replace=False)
-    descriptors = rng.normal(size=(60, 16)).astype(np.float32)
-    packages, rows, features = [], [], []
+    descriptors = rng.normal(size=(60, 16))
+    packages, rows = [], []
     for k, shift in enumerate(((0, 0, 0), (0.6, 0.1, -0.4))):
         path = write_package(tmp_path, f"v{k}", np.eye(3), confidence=2)
         (path / "keyframes").mkdir()
         depth.tofile(path / "keyframes" / "d.bin")
         (path / "keyframes.json").write_text(json.dumps([frame | {"cameraTransform": [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0, *shift, 1]}]))
         packages.append(open_package(path))
-        uv = np.column_stack([places % wide, places // wide]).astype(np.float32)
-        rows += [(k, j, 0, float(u), float(v), [float(x) for x in descriptors[j]]) for j, (u, v) in enumerate(uv)]
-        features.append(Features(frames(path), descriptors, np.zeros(60, dtype=int), uv))
+        rows += [(k, j, 0, float(p % wide), float(p // wide), [float(x) for x in descriptors[j]]) for j, p in enumerate(places)]
     table = spark.createDataFrame(rows, FEATURES)
-    found = seeds_of_pairs(spark, packages, table, [(0, 1)])[0, 1]
-    alone = register_keyframes(*(p.path for p in packages), *features, *(p.geo.matrix() for p in packages))
-    assert (found.matches, found.inliers) == (alone.matches, alone.inliers) == (60, 60)
-    assert np.allclose(found.motion.matrix(), alone.motion.matrix(), atol=1e-4) and found.rmse < 1e-3
+    found = register_keyframes(spark, *packages, table)
+    assert (found.matches, found.inliers) == (60, 60) and found.rmse < 1e-3
+    at = np.array([[612_000.0, 5_204_000.0, 38.5]])
+    assert np.allclose(found.motion.apply(at) - at, [[-0.6, -0.4, -0.1]], atol=1e-4)
+    assert register_keyframes(spark, *packages, table.where("feat_id < 19")) is None
     with pytest.warns(UserWarning, match="visual"), pytest.raises(ValueError, match="connect"):
         register_scans(spark, packages)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cloudweft.errors import ScanPackageError
 from cloudweft.functions.geometry import to_projected
-from cloudweft.sources.keyframes import frames, raster, sidecar, world_point
+from cloudweft.sources.keyframes import frames, raster, sidecar
 from cloudweft.sources.packages import discover, georeference, open_package, scans
 from cloudweft.sources.points import read_points
 from tests.packages import write_package
@@ -99,20 +99,13 @@ def test_projection(spark, tmp_path):
     assert table.first().geo.acc_v is None
 
 
-FRAME = {"sceneDepthPayload": {"width": 2, "height": 2, "depthMapFilename": "d.bin"}, "imageWidth": 2, "imageHeight": 2, "cameraIntrinsics": [1, 0, 0, 0, 1, 0, 0, 0, 1], "cameraTransform": [1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1], "imageFilename": "i.jpg"}
-
-
-def test_depth_lookup(tmp_path):
+def test_rasters_and_names(tmp_path):
     (tmp_path / "keyframes").mkdir()
     np.full(4, 2.0, dtype="<f4").tofile(tmp_path / "keyframes" / "d.bin")
-    assert world_point(tmp_path, FRAME, (0, 0)).tolist() == [0, 0, -2]
-    assert world_point(tmp_path, FRAME | {"imageWidth": 0}, (0, 0)) is None
     for name in ("../d.bin", "/etc/passwd", "", "."):
         assert sidecar(tmp_path, name) is None
+    assert raster(tmp_path, "d.bin", "<f4", 4).tolist() == [2.0] * 4
     assert raster(tmp_path, "d.bin", "<f4", 5) is None and raster(tmp_path, "absent", "<f4", 1) is None
-    np.array([0, 0, 1, 1], dtype="u1").tofile(tmp_path / "keyframes" / "c.bin")
-    trusted = FRAME | {"sceneDepthPayload": FRAME["sceneDepthPayload"] | {"confidenceMapFilename": "c.bin"}}
-    assert world_point(tmp_path, trusted, (0, 0)) is None and world_point(tmp_path, trusted, (0, 1)) is not None
 
 
 def test_keyframe_selection(tmp_path):
