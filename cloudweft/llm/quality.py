@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
-from cloudweft.llm.common import SPACE_BYTES, arrow_mapped, column, in_pieces, others, whole_row
+from cloudweft.llm.common import SPACE_BYTES, arrow_mapped, column, in_pieces, others
 
 WINDOW = 8
 THRESHOLD = 0.5
@@ -200,14 +200,17 @@ def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = THRESH
     model = fit_table(signal_table(docs, text_col, []))
     values = spark.sparkContext.broadcast(model.posterior(list(range(3 ** len(RULES)))))
 
+    inner, at = [f"c{i}" for i in range(len(docs.columns))], docs.columns.index(text_col)
+    schema = StructType([StructField(i, f.dataType) for i, f in zip(inner, docs.schema, strict=True)])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_pieces(batches):
             keep = []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(at).to_pylist():
                 s = signals(text)
                 failed = s[0] < 20 or 100 * s[4] > 30 * s[0]
                 keep.append(not failed and bool(values.value[pattern(votes(s))] >= threshold))
-            yield batch.select(["doc"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
-    schema = StructType([StructField("doc", StructType(docs.schema.fields))])
-    return docs.select(column(text_col).alias("text"), whole_row(docs).alias("doc")).mapInArrow(run, schema).select("doc.*")
+    plain = docs.select(*(column(c).alias(i) for c, i in zip(docs.columns, inner, strict=True)))
+    return plain.mapInArrow(run, schema).select(*(F.col(i).alias(c) for i, c in zip(inner, docs.columns, strict=True)))
