@@ -158,8 +158,8 @@ def _few(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("source_id", F.expr(_ID).alias("id"), "x", "y", "z")
 
 
-def _matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    few = written(_few(spark, sf_dir), "few")
+def _matches(spark: SparkSession, sf_dir: str, few: DataFrame | None = None) -> DataFrame:
+    few = written(_few(spark, sf_dir), "few") if few is None else few
     both = F.broadcast(pairs.candidate_pairs(pairs.bounds(few)))  # six pairs of four scans
     sides = [few.join(both, F.col("source_id") == F.col(side)).drop("source_id") for side in ("moving", "fixed")]
     return nn.nearest(*sides, 1.0, _PAIR)
@@ -212,8 +212,9 @@ def quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of scans in the order in which the pose graph takes them, by overlap and error of their nearest neighbours."""
     from pyspark.sql import Window
 
-    sizes = _few(spark, sf_dir).groupBy(F.col("source_id").alias("moving")).agg(F.count("*").alias("size"))
-    edges = _matches(spark, sf_dir).groupBy(*_PAIR).agg(F.count("*").alias("n"), nn.rmse().alias("rmse")).join(F.broadcast(sizes), "moving")  # a row for each scan
+    few = written(_few(spark, sf_dir), "few")
+    sizes = few.groupBy(F.col("source_id").alias("moving")).agg(F.count("*").alias("size"))
+    edges = _matches(spark, sf_dir, few).groupBy(*_PAIR).agg(F.count("*").alias("n"), nn.rmse().alias("rmse")).join(F.broadcast(sizes), "moving")  # a row for each scan
     scored = edges.select(*_PAIR, F.round(g.quality_score(F.col("n") / F.col("size"), F.col("rmse")), 6).alias("score"))
     return scored.withColumn("place", F.row_number().over(Window.orderBy(F.desc("score"), *_PAIR)).cast("long"))  # a row for each pair
 
