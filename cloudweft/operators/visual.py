@@ -19,9 +19,9 @@ LEAST_INLIERS = 20
 INLIER_METRES = 0.20
 HYPOTHESES = 2500
 SEED = 0
-#: Rows of the descriptor distance matrix that are held at once, and neighbours beyond two whose distances are taken again.
+#: Rows of a block of descriptors, and those whose distances to a block are held at once.
 BLOCK = 2048
-SPARE_NEAR = 6
+PART = 256
 
 
 @dataclass(frozen=True)
@@ -97,6 +97,47 @@ def seed_table(sides: DataFrame, least: int = LEAST_INLIERS, threshold: float =
     return sides.select(*columns).groupBy("fixed", "moving").applyInPandas(one, schema)
 
 
+def vectors(descriptors: pd.Series, lengths: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The descriptors as rows of a matrix, zero where they are null, and which are not. ``lengths`` are those of all that
+    they are to be compared with, which must be equal."""
+    if len(set(lengths)) > 1:
+        raise ValueError("descriptors differ in length")
+    known = descriptors.notna().to_numpy(dtype=bool)
+    found = np.zeros((len(descriptors), lengths[0] if lengths else 0))
+    if known.any():
+        found[known] = np.stack(descriptors[known].to_list())
+    return found, known
+
+
+def two_nearest(here: np.ndarray, here_known: np.ndarray, there: np.ndarray, there_known: np.ndarray, same: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(row of here, row of there, distance, whether it is known): for each row of ``here`` its two nearest but ``same`` ones.
+
+    Products of matrices round, so they only choose: whatever may be among the two within the error of a product, copies
+    of one vector for example, has its distance summed term by term. Of equal distances the first row counts."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        norms = (here**2).sum(axis=1)[:, None] + (there**2).sum(axis=1)[None]
+        error = 16 * (here.shape[1] + 8) * np.finfo(float).eps * norms
+        squared = norms - 2 * here @ there.T
+        far = ~(here_known[:, None] & there_known[None])
+        if same is not None:
+            far |= same
+        low, high = np.where(far, np.inf, squared - error), np.where(far, np.inf, squared + error)
+        last = min(1, len(there) - 1)
+        may = ~(low > np.partition(high, last, axis=1)[:, [last]])  # NaN may, too
+        if same is not None:
+            may &= ~same
+        who, target = np.nonzero(may)
+        apart = np.zeros(len(who))
+        for k in range(here.shape[1]):
+            apart += (here[who, k] - there[target, k]) ** 2
+    known = here_known[who] & there_known[target]
+    apart = np.where(known, np.sqrt(apart), 0.0)
+    order = np.lexsort((target, apart, ~known, who))
+    who, target, apart, known = who[order], target[order], apart[order], known[order]
+    taken = np.arange(len(who)) - np.searchsorted(who, who) < 2
+    return who[taken], target[taken], apart[taken], known[taken]
+
+
 def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, blocks: int | None = None, skip_same: bool = False) -> DataFrame:
     """(qid, tid, d1, d2) of the nearest and second nearest target of each (qid, descriptor) among (tid, descriptor).
 
@@ -104,37 +145,38 @@ def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, bl
     matrices, which keeps the two nearest of its block for each query, so neither side is ever whole in one place. Exact,
     so it costs the product of both sides; ties go to the lowest tid. With a ratio, only matches that pass its test are
     kept; ``skip_same`` leaves out a target with the query's own id.
+
+    Defined results: rows without an id take no part; a distance to or from a null descriptor is null and comes after all
+    others, NaN too; d2 is null with a single target, and a query without any has no row.
     """
+    queries, targets = queries.where("qid is not null"), targets.where("tid is not null")
     n_q, n_t = (blocks, blocks) if blocks else (max(1, -(-side.count() // BLOCK)) for side in (queries, targets))
-    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n))
+    # Keys of one type on both sides: those of different types are hashed to different partitions and never meet.
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = queries.select("qid", "descriptor", block("qid", n_q).alias("qb"), every(n_t).alias("tb"))
-    right = targets.select("tid", "descriptor", block("tid", n_t).alias("tb"), every(n_q).alias("qb"))
+    # Names of their own, too: of one column on both sides, as when a table is held against itself, Spark may lose one.
+    left = queries.select("qid", F.col("descriptor").alias("here"), block("qid", n_q).alias("qb"), every(n_t).alias("tb"))
+    right = targets.select("tid", F.col("descriptor").alias("there"), block("tid", n_t).alias("tb"), every(n_q).alias("qb"))
 
     def two(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(t):
-            return pd.DataFrame({"qid": [], "tid": [], "d": []})
+            return pd.DataFrame({"qid": [], "tid": [], "d": [], "known": []})
         t = t.sort_values("tid")
-        ids, own = t["tid"].to_numpy(), q["qid"].to_numpy()
-        here, there = (np.stack(side["descriptor"]).astype(float) for side in (q, t))
-        squared = np.maximum((here**2).sum(axis=1)[:, None] + (there**2).sum(axis=1)[None] - 2 * here @ there.T, 0)
-        if skip_same:
-            squared[own[:, None] == ids[None]] = np.inf
-        near = np.argsort(squared, axis=1, kind="stable")[:, : 2 + SPARE_NEAR]  # a few more, as products round
-        who = np.repeat(np.arange(len(here)), near.shape[1])
-        target = near.ravel()
-        apart = np.sqrt(((here[who] - there[target]) ** 2).sum(axis=1))
-        if skip_same:
-            apart[own[who] == ids[target]] = np.inf
-        order = np.lexsort((target, apart, who))
-        place = np.arange(len(order)) % near.shape[1]
-        taken = order[(place < 2) & np.isfinite(apart[order])]
-        return pd.DataFrame({"qid": own[who[taken]], "tid": ids[target[taken]], "d": apart[taken]})
-
-    kinds = f"qid {queries.schema['qid'].dataType.simpleString()}, tid {targets.schema['tid'].dataType.simpleString()}, d double"
+        ids, parts = t["tid"].to_numpy(), []
+        lengths = [len(x) for side in (q["here"], t["there"]) for x in side if x is not None]
+        there, known = vectors(t["there"], lengths)
+        for start in range(0, len(q), PART):
+            part = q.iloc[start : start + PART]
+            here, own = vectors(part["here"], lengths), part["qid"].to_numpy()
+            who, target, apart, sure = two_nearest(*here, there, known, own[:, None] == ids[None] if skip_same else None)
+            parts.append(pd.DataFrame({"qid": own[who], "tid": ids[target], "d": apart, "known": sure}))
+        return pd.concat(parts)
+
+    kinds = f"qid {queries.schema['qid'].dataType.simpleString()}, tid {targets.schema['tid'].dataType.simpleString()}, d double, known boolean"
     near = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInPandas(two, kinds)
-    best = near.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "tid"))), 1, 2).alias("two")).where(F.size("two") == 2)  # two for each block
-    found = best.select("qid", F.col("two")[0]["tid"].alias("tid"), F.col("two")[0]["d"].alias("d1"), F.col("two")[1]["d"].alias("d2"))
+    near = near.withColumn("d", F.when(F.col("known"), F.coalesce("d", F.lit(float("nan")))))  # pandas has one mark for NaN and null
+    best = near.groupBy("qid").agg(F.slice(F.array_sort(F.collect_list(F.struct(~F.col("known"), "d", "tid"))), 1, 2).alias("two"))  # two for each block
+    found = best.select("qid", F.col("two")[0]["tid"].alias("tid"), F.col("two")[0]["d"].alias("d1"), F.get("two", F.lit(1))["d"].alias("d2"))
     return found if ratio is None else found.where(F.col("d1") < ratio * F.col("d2"))
 
 

@@ -1,4 +1,6 @@
-from math import radians
+from functools import reduce
+from math import radians, sqrt
+from operator import add
 
 import numpy as np
 import pytest
@@ -228,6 +230,53 @@ def test_two_nearest_in_blocks_with_ties(spark):
         assert got[k] == (order[0], apart[order[0]], apart[order[1]])
 
 
+def _two_nearest(q, t):
+    """By id of each query: (nearest id, its distance, the second distance), summed term by term; ``t`` and ``q`` by id."""
+    found = {}
+    for k, x in q.items():
+        each = sorted((sqrt(reduce(add, ((a - b) * (a - b) for a, b in zip(x, y, strict=True)))), i) for i, y in t.items() if i != k)
+        found[k] = (each[0][1], each[0][0], each[1][0])
+    return found
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_two_nearest_of_a_table_with_itself_in_partitions_apart(spark, copies):
+    rng = np.random.default_rng(16)
+    distinct = rng.normal(size=(120 // copies, 24)).astype(np.float32).astype(float)
+    vectors = {k: [float(v) for v in distinct[k % len(distinct)]] for k in range(120)}
+    frame = spark.createDataFrame(list(vectors.items()), "vec_id long, descriptor array<float>").localCheckpoint()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = visual.knn2(frame.withColumnRenamed("vec_id", "qid"), frame.withColumnRenamed("vec_id", "tid"), None, blocks=3, skip_same=True).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.qid: (r.tid, r.d1, r.d2) for r in found} == _two_nearest(vectors, vectors) and len(found) == 120
+
+
+def test_two_nearest_choose_by_exact_distances():
+    rng = np.random.default_rng(17)
+    many = np.vstack([rng.normal(size=(1, 64)) + 1000.0] * 300 + [rng.normal(size=(5, 64))])  # products round differently by place
+    known = np.ones(len(many), dtype=bool)
+    who, target, apart, sure = visual.two_nearest(many[:300], known[:300], many, known, np.eye(305, dtype=bool)[:300])
+    assert sure.all() and (apart == 0).all() and (np.bincount(who) == 2).all()
+    assert [tuple(x) for x in target.reshape(-1, 2)] == [tuple(i for i in range(4) if i != k)[:2] for k in range(300)]
+    who, target, apart, sure = visual.two_nearest(np.array([[0.0], [np.nan]]), known[:2], np.array([[np.inf], [1.0], [np.nan]]), known[:3])
+    assert target.tolist() == [1, 0, 0, 1] and apart[:2].tolist() == [1.0, np.inf] and np.isnan(apart[2:]).all()
+
+
+def test_two_nearest_query_on_few_and_null_vectors(spark, tmp_path):
+    import duckdb
+
+    from cloudweft.plans import catalog
+
+    one, nan = [0.5, -1.0], [float("nan"), 0.0]
+    for n, rows in enumerate(([], [(0, one)], [(0, one), (7, [1.0, 1.0])], [(0, one), (7, None)], [(0, None), (None, one), (7, one), (100, one), (200, nan), (300, one), (3, nan), (5, None)], [(0, None), (100, None), (7, None)])):
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/{n}/embeddings.parquet")
+        embeddings = duckdb.sql(f"SELECT * FROM '{tmp_path}/{n}/embeddings.parquet/*.parquet'")  # noqa: F841
+        want = {tuple(map(repr, r)) for r in duckdb.sql(catalog.oracle_sql()["knn2_ratio"]).fetchall()}
+        assert {tuple(map(repr, r)) for r in catalog.queries()["knn2_ratio"](spark, f"{tmp_path}/{n}").collect()} == want
+
+
 def test_candidate_pairs_with_one_wide_box(spark):
     rng = np.random.default_rng(14)
     low = rng.uniform(-50, 50, (60, 2))
