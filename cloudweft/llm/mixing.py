@@ -19,7 +19,8 @@ Its table of words has at most ``BUCKETS`` rows. Everything else covers all rows
 Defined results: a null or empty text has no tokens, the prior as its posterior, and a rate as any other document; rows
 of a repeated or null doc_id are rows of their own; without labelled rows of at least two domains, all posteriors are the prior and all
 rates equal; an empty table gives an empty result; all other columns are kept as they are. Texts of any length are taken
-whole. Domains that are equally likely share a document, so there are no ties to break; a labelled doc_id with several
+whole: those of more than ``LONG_BYTES`` in pieces that end with a word, as an array of all their words would fill an
+executor. Domains that are equally likely share a document, so there are no ties to break; a labelled doc_id with several
 labels has the highest domain.
 """
 
@@ -30,7 +31,7 @@ import logging
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cloudweft.llm.common import SPACE_CLASS, column, discard, tables, whole_row, written
@@ -41,6 +42,9 @@ TARGETS = {"clean": 0.96, "low": 0.04, "toxic": 0.0}
 SIZE = 1.0
 LABELLED_ROWS = 200_000
 BUCKETS = 1 << 18
+#: Texts of more bytes than this are split into words piece by piece; a piece has so many characters and the rest of its last word.
+LONG_BYTES = 1 << 20
+PIECE_CHARS = 1 << 16
 #: A word's evidence on a domain counts by half if its documents n there and those expected, e, have (n - e) ** 2 / (e + 1)
 #: equal to this, more if they differ more, and hardly if they agree.
 HALF = 9.0
@@ -62,6 +66,20 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), f"[{SPACE_CLASS}]+"), lambda w: w != "")
 
 
+def word_rows(docs: DataFrame, *kept: str) -> DataFrame:
+    """(``kept``, row, tokens, word): a row for each distinct word of each row's ``text``, one with a null where there is none."""
+    size, row = F.coalesce(F.octet_length("text"), F.lit(0)), F.monotonically_increasing_id()
+    short = docs.where(size <= LONG_BYTES).select(*kept, row.alias("row"), words(F.col("text")).alias("words"))
+    short = short.select(*kept, "row", F.size("words").cast("long").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
+    pieces = F.regexp_extract_all("text", F.lit(f"[\\s\\S]{{1,{PIECE_CHARS}}}+[^{SPACE_CLASS}]*+"), F.lit(0))
+    long = docs.where(size > LONG_BYTES).select(*kept, (-1 - row).alias("row"), "text")  # numbered before pieces become rows
+    long = long.select(*kept, "row", F.explode(pieces).alias("piece"))
+    long = long.select(*kept, "row", F.explode_outer(words(F.col("piece"))).alias("word")).groupBy(*kept, "row", "word").agg(F.count("word").alias("n"))
+    some = Window.partitionBy(*kept, "row")  # the distinct words of one text; a piece without words is left out if another has some
+    long = long.select(*kept, "row", F.sum("n").over(some).alias("tokens"), "word").where("word is not null or tokens = 0")
+    return short.union(long)
+
+
 def bucket(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(BUCKETS)).cast("int")
 
@@ -80,13 +98,13 @@ def classifier(docs: DataFrame, labels: DataFrame, text_col: str, id_col: str) -
     """(bucket, w0, w1, w2): what a word adds to each domain's logarithm; and the logarithms of the priors."""
     chosen = written(sample(labels), "labelled")
     rows = docs.select(column(id_col).alias("labelled"), column(text_col).alias("text")).join(F.broadcast(chosen), "labelled")
-    own = rows.select("domain", F.explode(F.array_union(F.array(F.lit("")), words(F.col("text")))).alias("word"))  # the empty word counts documents
-    counted = written(own.groupBy(F.when(F.col("word") == "", -1).otherwise(bucket(F.col("word"))).alias("bucket"), "domain").agg(F.count("*").alias("n")), "words")
-    sizes = {r.domain: r.n for r in counted.where("bucket = -1").collect()}
+    own = word_rows(rows, "domain").where("word is not null")
+    counted = written(own.groupBy(bucket(F.col("word")).alias("bucket"), "domain").agg(F.count("*").alias("n")), "words")
+    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     total = sum(sizes.values())
     prior = [math.log((sizes.get(k, 0) + 1) / (total + len(DOMAINS))) for k in range(len(DOMAINS))]
     by = [F.coalesce(F.sum(F.when(F.col("domain") == k, F.col("n"))), F.lit(0)) for k in range(len(DOMAINS))]
-    table = counted.where("bucket >= 0").groupBy("bucket").agg(*(x.alias(f"n{k}") for k, x in enumerate(by)))
+    table = counted.groupBy("bucket").agg(*(x.alias(f"n{k}") for k, x in enumerate(by)))
     seen = sum((F.col(f"n{k}") for k in range(1, len(DOMAINS))), F.col("n0"))
     weights = []
     for k in range(len(DOMAINS)):
@@ -102,15 +120,14 @@ def posteriors(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_co
     mark = tables()
     table, prior = classifier(docs if known is None else known, labels, text_col, id_col)
     table = written(table, "classifier")
-    own = words(column(text_col))
-    each = docs.select(column(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.xxhash64(column(text_col)).alias("digest"), own.alias("words")).select("id", "row", "digest", F.size("words").alias("tokens"), F.explode_outer(F.array_distinct("words")).alias("word"))
+    each = word_rows(docs.select(column(id_col).alias("id"), column(text_col).alias("text"), F.xxhash64(column(text_col)).alias("digest")), "id", "digest")
     joined = each.withColumn("bucket", bucket(F.coalesce("word", F.lit("")))).join(F.broadcast(table), "bucket", "left")
     sums = joined.groupBy("row", "id", "digest", "tokens").agg(*(F.coalesce(F.sum(f"w{k}"), F.lit(0.0)).alias(f"s{k}") for k in range(len(DOMAINS))))
     logs = [F.col(f"s{k}") + prior[k] for k in range(len(DOMAINS))]
     most = F.greatest(*logs)
     parts = [F.exp(x - most) for x in logs]
     whole = sum(parts[1:], parts[0])
-    found = written(sums.select("row", "id", "digest", F.col("tokens").cast("long").alias("tokens"), *((x / whole).alias(f"p{k}") for k, x in enumerate(parts))), "posteriors")
+    found = written(sums.select("row", "id", "digest", "tokens", *((x / whole).alias(f"p{k}") for k, x in enumerate(parts))), "posteriors")
     discard(docs.sparkSession, mark, found)
     return found
 

@@ -178,6 +178,19 @@ def test_mixing_repeats_and_drops_rows(spark, table, monkeypatch, limit):
     assert Counter(r.doc_id for r in out.collect()) == +want
 
 
+def test_long_texts_are_counted_in_pieces(spark, table, monkeypatch):
+    rows, labels = labelled(60)
+    rows = [*rows, *EDGES, (900, " \n\t " * 50), (901, "x" * 500), (902, ("é\U0001f600 A\ta " * 90) + "end"), (902, "a b " * 200), (903, " lead" + "  " * 70 + "trail")]
+    df, marks = table(rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    weights = lambda: sorted(mixing.classifier(df, marks, "text", "doc_id")[0].collect())
+    plain = lambda: sorted(((r.id, r.digest, r.tokens, r.word) for r in mixing.word_rows(df.selectExpr("doc_id AS id", "xxhash64(text) AS digest", "text"), "id", "digest").collect()), key=repr)
+    whole, learned = plain(), weights()
+    monkeypatch.setattr(mixing, "LONG_BYTES", 20)
+    monkeypatch.setattr(mixing, "PIECE_CHARS", 16)
+    assert plain() == whole and weights() == learned
+    assert len({r.row for r in mixing.posteriors(df, marks).collect()}) == len(rows)
+
+
 def test_mixture_learns_domains_that_earlier_stages_removed(spark, folder):
     import corpus_pipeline as cp
     from tests.llm.corpus import JUNK
