@@ -22,6 +22,9 @@ SEED = 0
 #: Rows of a block of descriptors, and those whose distances to a block are held at once.
 BLOCK = 2048
 PART = 256
+#: Rows of a block that is dealt out to be held against others, and targets of which only the least distance is looked at first.
+DEALT = 8192
+GROUP = 32
 
 
 @dataclass(frozen=True)
@@ -113,22 +116,36 @@ def two_nearest(here: np.ndarray, here_known: np.ndarray, there: np.ndarray, the
     """(row of here, row of there, distance, whether it is known): for each row of ``here`` its two nearest but ``same`` ones.
 
     Products of matrices round, so they only choose: whatever may be among the two within the error of a product, copies
-    of one vector for example, has its distance summed term by term. Of equal distances the first row counts."""
+    of one vector for example, has its distance summed term by term. Of equal distances the first row counts.
+
+    ``low`` is the square of a distance less here's own norm and less the part of the error that grows with there's. The
+    least of two groups of targets bound the second nearest, so one pass finds the bound and one who is within it."""
+    n, width = there.shape
+    groups = max(2, -(-n // GROUP))
     with np.errstate(invalid="ignore", over="ignore"):
-        norms = (here**2).sum(axis=1)[:, None] + (there**2).sum(axis=1)[None]
-        error = 16 * (here.shape[1] + 8) * np.finfo(float).eps * norms
-        squared = norms - 2 * here @ there.T
-        far = ~(here_known[:, None] & there_known[None])
+        c = 16 * (width + 8) * np.finfo(float).eps
+        own, norms = (here**2).sum(axis=1), (there**2).sum(axis=1)
+        plain = np.isfinite(norms) & there_known
+        sides = np.zeros((groups * GROUP, width + 1))  # what is not plain, and what fills the last group up, is far from all
+        sides[:, width] = np.inf
+        sides[:n][plain] = np.column_stack([there[plain], (1 - c) * norms[plain]])
+        spread = np.append(np.where(plain, 2 * c * norms, np.inf), np.full(len(sides) - n, np.inf))
+        low = np.column_stack([-2 * here, np.ones(len(here))]) @ sides.T
         if same is not None:
-            far |= same
-        low, high = np.where(far, np.inf, squared - error), np.where(far, np.inf, squared + error)
-        last = min(1, len(there) - 1)
-        may = ~(low > np.partition(high, last, axis=1)[:, [last]])  # NaN may, too
+            low[:, :n][same] = np.inf
+        rows = np.arange(len(here))[:, None]
+        grouped = low.reshape(len(here), GROUP, groups)
+        two = np.argpartition(grouped.min(axis=1), 1, axis=1)[:, :2]
+        first = grouped[rows, :, two].argmin(axis=2) * groups + two
+        most = (low[rows, first] + spread[first]).max(axis=1) + 2 * c * own
+        most[~(np.isfinite(own) & here_known)] = np.inf
+        may = ~(low > most[:, None])[:, :n]  # NaN may, too
+        may[:, ~np.isfinite(norms) & there_known] = True
         if same is not None:
             may &= ~same
         who, target = np.nonzero(may)
         apart = np.zeros(len(who))
-        for k in range(here.shape[1]):
+        for k in range(width):
             apart += (here[who, k] - there[target, k]) ** 2
     known = here_known[who] & there_known[target]
     apart = np.where(known, np.sqrt(apart), 0.0)
@@ -141,7 +158,7 @@ def two_nearest(here: np.ndarray, here_known: np.ndarray, there: np.ndarray, the
 def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, blocks: int | None = None, skip_same: bool = False) -> DataFrame:
     """(qid, tid, d1, d2) of the nearest and second nearest target of each (qid, descriptor) among (tid, descriptor).
 
-    Both sides are dealt into blocks of about ``BLOCK`` rows; each pair of blocks meets in one worker as one product of
+    Both sides are dealt into blocks of about ``DEALT`` rows; each pair of blocks meets in one worker as one product of
     matrices, which keeps the two nearest of its block for each query, so neither side is ever whole in one place. Exact,
     so it costs the product of both sides; ties go to the lowest tid. With a ratio, only matches that pass its test are
     kept; ``skip_same`` leaves out a target with the query's own id.
@@ -150,7 +167,7 @@ def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, bl
     others, NaN too; d2 is null with a single target, and a query without any has no row.
     """
     queries, targets = queries.where("qid is not null"), targets.where("tid is not null")
-    n_q, n_t = (blocks, blocks) if blocks else (max(1, -(-side.count() // BLOCK)) for side in (queries, targets))
+    n_q, n_t = (blocks, blocks) if blocks else (max(1, -(-side.count() // DEALT)) for side in (queries, targets))
     # Keys of one type on both sides: those of different types are hashed to different partitions and never meet.
     block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
@@ -168,7 +185,8 @@ def knn2(queries: DataFrame, targets: DataFrame, ratio: float | None = RATIO, bl
         for start in range(0, len(q), PART):
             part = q.iloc[start : start + PART]
             here, own = vectors(part["here"], lengths), part["qid"].to_numpy()
-            who, target, apart, sure = two_nearest(*here, there, known, own[:, None] == ids[None] if skip_same else None)
+            same = own[:, None] == ids[None] if skip_same and np.isin(own, ids).any() else None
+            who, target, apart, sure = two_nearest(*here, there, known, same)
             parts.append(pd.DataFrame({"qid": own[who], "tid": ids[target], "d": apart, "known": sure}))
         return pd.concat(parts)
 

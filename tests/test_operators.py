@@ -277,6 +277,22 @@ def test_two_nearest_query_on_few_and_null_vectors(spark, tmp_path):
         assert {tuple(map(repr, r)) for r in catalog.queries()["knn2_ratio"](spark, f"{tmp_path}/{n}").collect()} == want
 
 
+def test_two_nearest_query_answers_for_every_vector(spark, tmp_path):
+    import duckdb
+
+    from cloudweft.plans import catalog
+
+    rng = np.random.default_rng(18)
+    vectors = {k: [float(v) for v in x] for k, x in enumerate(rng.normal(size=(230, 6)).astype(np.float32), 51)}
+    vectors[77] = vectors[150]
+    spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    found = catalog.queries()["knn2_ratio"](spark, str(tmp_path)).collect()
+    want = {k: (tid, round(d1, 6), round(d2, 6), d1 < 0.95 * d2) for k, (tid, d1, d2) in _two_nearest(vectors, vectors).items()}
+    assert {r.qid: (r.tid, r.d1, r.d2, r.passes) for r in found} == want and len(found) == 230
+    embeddings = duckdb.sql(f"SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")  # noqa: F841
+    assert {r[0]: r[1:] for r in duckdb.sql(catalog.oracle_sql()["knn2_ratio"]).fetchall()} == want
+
+
 def test_candidate_pairs_with_one_wide_box(spark):
     rng = np.random.default_rng(14)
     low = rng.uniform(-50, 50, (60, 2))
