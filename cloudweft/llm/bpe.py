@@ -10,8 +10,10 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -49,10 +51,14 @@ def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
+def in_parts(text: str, codec: tiktoken.Encoding, size: int = PIECE_CHARS) -> Iterator[list[int]]:
+    """The tokens of a text, piece by piece: a list of all of a very long one takes ten times its bytes."""
+    for piece in pieces(text, size):
+        yield codec.encode_ordinary(piece)
+
+
 def encode(text: str, codec: tiktoken.Encoding, size: int = PIECE_CHARS) -> list[int]:
-    if len(text) <= size:
-        return codec.encode_ordinary(text)
-    return [token for piece in pieces(text, size) for token in codec.encode_ordinary(piece)]
+    return [token for part in in_parts(text, codec, size) for token in part]
 
 
 def encode_table(docs: DataFrame, rank_path: str | None = None, pattern: str = public_tokenizers.PATTERN, text_col: str = "text", with_ids: bool = True, digests: bool = False) -> DataFrame:
@@ -71,20 +77,28 @@ def encode_table(docs: DataFrame, rank_path: str | None = None, pattern: str = p
     def compute(texts: Iterable[pa.Array]) -> Iterator[list[pa.Array]]:
         codec = encoding(path, pattern)
         for part in texts:
-            counts, ids, raw, id_sums, raw_sums = [], [], [], [], []
-            for text in part.to_pylist():
-                tokens = encode(text or "", codec)
-                back = codec.decode_bytes(tokens)
-                counts.append(len(tokens))
+            counts, ids, ends, raw, id_sums, raw_sums = [], array("i"), [0], [], [], []
+            for scalar in part:
+                n, own, id_sum, raw_sum = 0, [], hashlib.sha256(), hashlib.sha256()
+                for tokens in in_parts(scalar.as_py() or "", codec):
+                    back = codec.decode_bytes(tokens)
+                    if with_ids:
+                        ids.extend(tokens)
+                        own.append(back)
+                    if digests:
+                        id_sum.update((("," if n and tokens else "") + ",".join(map(str, tokens))).encode())
+                        raw_sum.update(back)
+                    n += len(tokens)
+                counts.append(n)
                 if with_ids:
-                    ids.append(tokens)
-                    raw.append(back)
+                    ends.append(len(ids))
+                    raw.append(b"".join(own))
                 if digests:
-                    id_sums.append(hashlib.sha256(",".join(map(str, tokens)).encode()).hexdigest())
-                    raw_sums.append(hashlib.sha256(back).hexdigest())
+                    id_sums.append(id_sum.hexdigest())
+                    raw_sums.append(raw_sum.hexdigest())
             arrays = [pa.array(counts, pa.int64())]
             if with_ids:
-                arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(raw, pa.binary())]
+                arrays += [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32))), pa.array(raw, pa.binary())]
             if digests:
                 arrays += [pa.array(id_sums, pa.string()), pa.array(raw_sums, pa.string())]
             yield arrays

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cloudweft.llm.common import SPACE_CLASS, column, discard, tables, whole_row, written
+from cloudweft.llm.common import SPACE_CLASS, column, discard, tables, written
 
 DOMAINS = ("clean", "low", "toxic")
 #: Shares of the tokens that the mixture is to have, and its size as a share of the tokens there are.
@@ -55,7 +55,7 @@ RIDGE = 1e-5
 PASSES = 100
 EXACT = 1e-8
 MOST_REPEATS = 1000
-#: Rows whose number of copies is not one are broadcast if there are at most so many, otherwise shuffled.
+#: The copies of rows whose number of copies is not one are broadcast if they are at most so many, otherwise shuffled.
 BROADCAST_ROWS = 1_000_000
 TOLERANCE = 1e-4
 
@@ -241,8 +241,11 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     # Repeated rows may differ in the last bit of their rates: one number of copies holds for all of them.
     copies = written(fitted.groupBy(F.col("id").alias("side_id"), F.col("digest").alias("side_digest")).agg(F.max("copies").cast("int").alias("copies")).where("copies <> 1"), "copies")
     discard(docs.sparkSession, mark, copies)
-    side = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    keyed = docs.select(whole_row(docs).alias("doc"), F.xxhash64(column(text_col)).alias("digest"), column(id_col).alias("id"))
+    # A row for each copy, so that the join itself repeats rows: no text goes through a struct or a generator.
+    each = F.when(F.col("copies") > 1, F.sequence(F.lit(1), F.col("copies"))).otherwise(F.array(F.lit(0)))
+    side = copies.select("side_id", "side_digest", F.explode(each).alias("copy"))
+    side = F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    inner = [f"c{i}" for i in range(len(docs.columns))]
+    keyed = docs.select(*(column(c).alias(i) for c, i in zip(docs.columns, inner, strict=True)), F.xxhash64(column(text_col)).alias("digest"), column(id_col).alias("id"))
     out = keyed.join(side, (F.col("digest") == F.col("side_digest")) & F.col("id").eqNullSafe(F.col("side_id")), "left")
-    times = F.coalesce("copies", F.lit(1))
-    return out.where(times > 0).select("doc", F.explode(F.sequence(F.lit(1), times)).alias("copy")).select("doc.*")
+    return out.where("copy is null or copy > 0").select(*(F.col(i).alias(c) for c, i in zip(docs.columns, inner, strict=True)))

@@ -72,3 +72,34 @@ def test_clashing_and_odd_columns(spark, table, call, own):
     assert len(low) == len(set(low)) and {"doc_id", "a`b", "s"} <= set(out.columns) and own[0] not in out.columns
     rows = out.collect()
     assert len(rows) == 3 and all(r["a`b"] == 1 and r.s["a-b"] == 1 for r in rows)
+
+
+def test_long_values_are_taken_by_themselves():
+    import pyarrow as pa
+
+    from cloudweft.llm.common import in_pieces
+
+    batch = pa.record_batch({"a": ["x" * (3 << 20), "y" * (3 << 20), "z"]})
+    parts = list(in_pieces([batch, batch.slice(2)]))
+    assert [p.num_rows for p in parts] == [1, 2, 1]
+    assert pa.Table.from_batches(parts).column(0).to_pylist() == [*batch.column(0).to_pylist(), "z"]
+
+
+def test_long_rows_are_not_copied_again(spark, table):
+    from cloudweft.llm import bpe, mixing
+
+    docs = table([(k, f"word{k} common words " * 10) for k in range(40)] + [(40, "Some words\nand others " * 9000)])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    encoded = bpe.encode_table(docs)
+    assert "Project" not in plan(encoded).split("MapInArrow")[0]
+    found = {r.doc_id: r for r in encoded.collect()}
+    codec = bpe.encoding(bpe.public_tokenizers.path(bpe.RANK_FILE), bpe.public_tokenizers.PATTERN)
+    for r in docs.collect():
+        assert found[r.doc_id].ids == codec.encode_ordinary(r.text) and bytes(found[r.doc_id].decoded).decode() == r.text
+    marks = spark.createDataFrame([(k, int(k % 4 > 0), int(k % 5 == 0)) for k in range(30)], "doc_id long, quality int, toxic int")
+    named = docs.withColumnsRenamed({"lang": "copy", "source": "side_id"})
+    out = mixing.mix(named, marks)
+    assert "named_struct(" not in plan(out) and " AS doc#" not in plan(out) and out.columns == named.columns
+    want = {r.id: r.copies for r in mixing.mixed(named.select("doc_id", "text"), marks).collect()}
+    got = [r.doc_id for r in out.collect()]
+    assert {k: got.count(k) for k in want} == want
